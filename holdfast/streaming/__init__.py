@@ -1,0 +1 @@
+"""Intentionally empty: every input of this engine is a batch table, so no streaming operator is owed."""
