@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from holdfast.functions.rounding import half_even
+from holdfast.functions.rounding import half_away, half_even
 from holdfast.functions.text import fixed
 from holdfast.plans.warehouse import Warehouse
 from holdfast.sources.schema import STAR
@@ -93,7 +93,7 @@ def gram_matrix(wh: Warehouse) -> DataFrame:
     """Sums of products of all column pairs (upper triangle), one row per pair, from one aggregate pass."""
     names = list(DESIGN)
     pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
-    sums = design(wh).agg(*[F.sum(F.col(a) * F.col(b)).alias(f"s{i}") for i, (a, b) in enumerate(pairs)])
+    sums = design(wh).agg(*[half_away(F.sum(F.col(a) * F.col(b)), 4).alias(f"s{i}") for i, (a, b) in enumerate(pairs)])
     cells = [
         F.struct(
             F.lit(names.index(a) + 1).alias("i"), F.lit(names.index(b) + 1).alias("j"), F.col(f"s{k}").alias("s")

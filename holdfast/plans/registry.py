@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from holdfast.operators import quality
 from holdfast.operators.clean import clean, cleaning_log
 from holdfast.operators.features import add_features
-from holdfast.operators.keyed import upsert
+from holdfast.operators.keyed import latest_calibrated_run, of_run, upsert
 from holdfast.plans import contingency, metrics, numeric, odds, reports, survival, watchlist
 from holdfast.plans.warehouse import STAR, TABLES, Warehouse, open_warehouse
 from holdfast.sources.fixture import raw_subscribers
@@ -36,7 +36,7 @@ def _rescored(wh: Warehouse) -> DataFrame:
     """Upsert of a second scoring of the newest calibrated run, five points higher, into the stored rows."""
     stored = wh.table("fact_prediction")
     score = F.rint(F.least(F.lit(0.9999), F.col("risk_score") + 0.05) * 1e4) / 1e4
-    again = stored.filter("run_id = 'r4'").withColumn("risk_score", score)
+    again = of_run(stored, latest_calibrated_run(wh.table("model_run"))).withColumn("risk_score", score)
     return upsert(stored, again, PREDICTION_KEY).select("run_id", "subscriber_id", "model_name", "risk_score")
 
 
