@@ -503,7 +503,7 @@ ORACLE["numeric_tests"] = on(
       (greatest(u, n1 * n2 - u) - n1 * n2 / 2e0 - 5e-1)
         / sqrt(n1 * n2 / 12e0 * (n1 + n2 + 1 - ties / ((n1 + n2)::DOUBLE * (n1 + n2 - 1)))) AS z FROM sides""",
     area="""SELECT feature, sum(exp(lgamma((df + 1) / 2) - lgamma(df / 2)) / sqrt(df * pi())
-      * power(1 + power((i + 5e-1) * abs(t) / 20000, 2) / df, -(df + 1) / 2)) * abs(t) / 20000 AS half
+      * power(1 + power((i + 5e-1) * abs(t) / 20000, 2) / df, -(df + 1) / 2) * abs(t) / 20000) AS half
       FROM stat, (SELECT unnest(range(0, 20000)) AS i) GROUP BY feature""",
     tails=f"""SELECT s.*, greatest(0e0, 1 - 2 * half) AS pt, {upper_gamma('5e-1', 's.z * s.z / 2')} AS pu
       FROM stat s JOIN area USING (feature)""",
