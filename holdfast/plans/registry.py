@@ -11,7 +11,7 @@ from holdfast.operators import quality
 from holdfast.operators.clean import clean, cleaning_log
 from holdfast.operators.features import add_features
 from holdfast.operators.keyed import latest_calibrated_run, of_run, upsert
-from holdfast.plans import contingency, metrics, numeric, odds, reports, survival, watchlist
+from holdfast.plans import contingency, metrics, numeric, odds, reports, survival, training, watchlist
 from holdfast.plans.warehouse import STAR, TABLES, Warehouse, open_warehouse
 from holdfast.sources.fixture import raw_subscribers
 from holdfast.sources.schema import PREDICTION_KEY
@@ -99,6 +99,10 @@ QUERIES: dict[str, Query] = {
     "vif": _on_warehouse(odds.vif),
     "km_curves": _on_warehouse(survival.km_curves),
     "km_summary": _on_warehouse(survival.km_summary),
+    # training (no oracle: iterative fits)
+    "trained_models": _on_warehouse(training.trained_runs),
+    "train_and_score": _on_warehouse(training.train_and_score),
+    "feature_importance": _on_warehouse(training.feature_importance),
 }
 
 
