@@ -63,11 +63,8 @@ def rank_sums(hist: DataFrame) -> DataFrame:
     )
 
 
-def numeric_tests(wh: Warehouse, features: list[str] = FEATURES) -> DataFrame:
-    """All figures but the bootstrap interval, one row per feature."""
-    values = feature_values(wh.star("dim_subscriber", "fact_billing", "fact_attrition_label"), features)
-    m = moments(values).join(rank_sums(histogram(values)), "feature")
-
+def two_group_figures(m: DataFrame) -> DataFrame:
+    """Test statistics and effect sizes from the moments and rank sums of each feature."""
     n1, n2 = F.col("n_churned").cast("double"), F.col("n_retained").cast("double")
     mean1, mean2 = F.col("mean_churned"), F.col("mean_retained")
     s1, s2 = F.col("std_churned"), F.col("std_retained")
@@ -76,7 +73,7 @@ def numeric_tests(wh: Warehouse, features: list[str] = FEATURES) -> DataFrame:
     u_top = F.greatest(F.col("u"), n1 * n2 - F.col("u"))
     n = n1 + n2
     sigma = F.sqrt(n1 * n2 / 12.0 * ((n + 1) - F.col("ties") / (n * (n - 1))))
-    figures = m.withColumns(
+    return m.withColumns(
         {
             "t": F.try_divide(mean1 - mean2, F.sqrt(a + b)),
             "dof": F.try_divide((a + b) * (a + b), a * a / (n1 - 1) + b * b / (n2 - 1)),
@@ -85,6 +82,12 @@ def numeric_tests(wh: Warehouse, features: list[str] = FEATURES) -> DataFrame:
             "r": 1.0 - F.try_divide(2.0 * F.col("u"), n1 * n2),
         }
     )
+
+
+def numeric_tests(wh: Warehouse, features: list[str] = FEATURES) -> DataFrame:
+    """All figures but the bootstrap interval, one row per feature."""
+    values = feature_values(wh.star("dim_subscriber", "fact_billing", "fact_attrition_label"), features)
+    figures = two_group_figures(moments(values).join(rank_sums(histogram(values)), "feature"))
     report = figures.select(
         "feature",
         "n_churned",

@@ -170,12 +170,18 @@ def revenue_at_risk_by_band(wh: Warehouse) -> DataFrame:
 
 def top_risk_within_segment(wh: Warehouse, top: int = TOP_IN_SEGMENT) -> DataFrame:
     """Highest-risk subscribers per contract. Each task keeps its own top rows per contract before the
-    exchange (WindowGroupLimit), so a contract with a third of all rows moves only those."""
+    exchange (WindowGroupLimit), so a contract with a third of all rows moves only those. The remaining
+    columns are joined to the winners only."""
     rank = F.row_number().over(W.partitionBy("contract_type").orderBy(F.desc("risk_score"), KEY))
-    return (
-        _calibrated_with(wh, "dim_subscriber", "dim_contract", "fact_billing")
+    ranked = (
+        _calibrated_with(wh, "dim_contract")
         .withColumn("rank_in_segment", rank)
         .filter(F.col("rank_in_segment") <= top)
+        .select("contract_type", "rank_in_segment", KEY, "risk_score", "risk_band")
+    )
+    return (
+        ranked.join(wh.table("fact_billing").select(KEY, "monthly_charge"), KEY)
+        .join(wh.table("dim_subscriber").select(KEY, "tenure_months"), KEY)
         .select(
             "contract_type", "rank_in_segment", KEY, "risk_score", "risk_band", "monthly_charge", "tenure_months"
         )
@@ -212,7 +218,7 @@ def table_row_counts(wh: Warehouse) -> DataFrame:
 
 def command_center_kpis(wh: Warehouse, watchlist_cap: int = 500) -> DataFrame:
     charge = F.col("monthly_charge")
-    listed = wh.scored_watchlist().limit(watchlist_cap).agg(F.count("*"))
+    listed = wh.watchlist_scores().limit(watchlist_cap).agg(F.count("*"))
     return (
         wh.star("fact_billing", "fact_attrition_label")
         .agg(
@@ -282,8 +288,14 @@ def severity_cluster(wh: Warehouse) -> DataFrame:
 
 
 def highest_charges(wh: Warehouse, top: int = 100) -> DataFrame:
-    """Subscribers with the highest monthly charge: the call list of a warehouse without predictions."""
-    return wh.subscriber_360().orderBy(F.desc("monthly_charge"), KEY).limit(top)
+    """Subscribers with the highest monthly charge: the call list of a warehouse without predictions.
+
+    The rows are picked from the billing table alone and joined to their profile afterwards.
+    """
+    picked = wh.table("fact_billing").orderBy(F.desc("monthly_charge"), KEY).limit(top)
+    columns = [c for names in STAR.values() for c in names]
+    others = [name for name in STAR if name != "fact_billing"]
+    return picked.join(wh.star(*others), KEY).select(KEY, *columns).orderBy(F.desc("monthly_charge"), KEY)
 
 
 # Insights ----------------------------------------------------------------------------------------------

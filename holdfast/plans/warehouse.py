@@ -46,12 +46,20 @@ class Warehouse:
         columns = [c for columns in STAR.values() for c in columns]
         return self.star(*STAR).select(KEY, *columns)
 
-    def scored_watchlist(self) -> DataFrame:
+    def watchlist_scores(self) -> DataFrame:
+        """Predictions of the preferred run. Each belongs to a subscriber (foreign key), so counting and
+        ranking need no join."""
+        return of_run(self.table("fact_prediction"), preferred_run(self.table("model_run")))
+
+    def scored_watchlist(self, top: int | None = None, skip: int = 0) -> DataFrame:
         """Predictions of the preferred run with the profile columns of the call list.
 
-        Left unordered: each reader sorts by risk and id, which the optimizer can turn into a top-k.
+        The whole list is left unordered. With ``top``, the highest scores are picked first and only those
+        rows are joined to their profile.
         """
-        scores = of_run(self.table("fact_prediction"), preferred_run(self.table("model_run")))
+        scores = self.watchlist_scores()
+        if top is not None:
+            scores = scores.orderBy(F.desc("risk_score"), KEY).offset(skip).limit(top)
         profile = self.star("dim_subscriber", "dim_contract", "fact_billing", "fact_attrition_label")
         return scores.join(profile, KEY).select(
             KEY, "model_name", "risk_score", "risk_band", "predicted_flag", "tenure_months", "tenure_band",

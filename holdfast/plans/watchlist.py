@@ -22,36 +22,36 @@ ROW_COLUMNS = [
 ]
 
 
-def _ranked(wh: Warehouse) -> DataFrame:
-    return wh.scored_watchlist().orderBy(F.desc("risk_score"), KEY)
+def call_list(wh: Warehouse, top: int = 500, skip: int = 0) -> DataFrame:
+    """The highest-risk rows of the watchlist, in order."""
+    return wh.scored_watchlist(top, skip).orderBy(F.desc("risk_score"), KEY)
 
 
 def top_risk_preview(wh: Warehouse, top: int = 3) -> DataFrame:
-    return _ranked(wh).limit(top).select(
+    return call_list(wh, top).select(
         KEY, "contract_type", "tenure_months", "monthly_charge", "risk_score", "risk_band", "payment_method"
     )
 
 
-def call_list(wh: Warehouse, top: int = 500) -> DataFrame:
-    return _ranked(wh).limit(top)
-
-
 def watchlist_page(wh: Warehouse, page: int = 1, per_page: int = 6) -> DataFrame:
     """One page of the ranked watchlist with the total and the number of pages."""
-    total = wh.scored_watchlist().agg(F.count("*")).scalar()
+    total = wh.watchlist_scores().agg(F.count("*")).scalar()
     return (
-        _ranked(wh)
+        call_list(wh, per_page, (page - 1) * per_page)
         .select(*ROW_COLUMNS)
-        .offset((page - 1) * per_page)
-        .limit(per_page)
         .withColumn("total", total)
         .withColumn("total_pages", F.greatest(F.lit(1), F.ceil(F.col("total") / per_page)).cast("bigint"))
     )
 
 
+def _charged(wh: Warehouse) -> DataFrame:
+    """Watchlist scores with the monthly charge: all that the sums over the list read."""
+    return wh.watchlist_scores().join(wh.table("fact_billing").select(KEY, "monthly_charge"), KEY)
+
+
 def watchlist_kpi(wh: Warehouse) -> DataFrame:
     charge = F.col("monthly_charge")
-    return wh.scored_watchlist().agg(
+    return _charged(wh).agg(
         F.count("*").alias("count"),
         half_away(money_sum(charge) * 12, 2).alias("arr"),
         half_away(money_avg(charge) * 12, 2).alias("avg_arr"),
@@ -68,11 +68,9 @@ def watchlist_detail(wh: Warehouse, subscriber_id: str | None = None) -> DataFra
         "tech_support", "streaming_tv", "streaming_movies",
     ]
     profile = wh.star("dim_subscriber", "dim_service_profile").select(KEY, *extra)
-    listed = wh.scored_watchlist()
     if subscriber_id is None:
-        wanted = _ranked(wh).limit(1)
-        return wanted.join(profile, KEY)
-    return listed.filter(F.col(KEY) == subscriber_id).join(profile, KEY)
+        return wh.scored_watchlist(top=1).join(profile, KEY)
+    return wh.scored_watchlist().filter(F.col(KEY) == subscriber_id).join(profile, KEY)
 
 
 def _plan(cost: Column, percent: Column, horizon: Column, n: Column, average: Column) -> dict[str, Column]:
@@ -92,7 +90,7 @@ def _plan(cost: Column, percent: Column, horizon: Column, n: Column, average: Co
 def _cohort(wh: Warehouse) -> DataFrame:
     """Size and average charge of the subscribers above the planner's cut. One row."""
     return (
-        wh.scored_watchlist()
+        _charged(wh)
         .filter(F.col("risk_score") >= COHORT_CUT)
         .agg(F.count("*").alias("cohort_count"), money_avg(F.col("monthly_charge")).alias("avg_mrr"))
     )
