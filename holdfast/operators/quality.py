@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.functions.rounding import half_even, ratio
@@ -18,28 +18,27 @@ MAX_TENURE = 200  # Fixed value: highest plausible tenure in months.
 _REPORT = "check string, status string, item string, measured double"
 
 
-def _row(check, status, item=None, measured=None) -> Column:
-    as_column = lambda v: v if isinstance(v, Column) else F.lit(v)
-    return F.struct(
-        as_column(check).cast("string").alias("check"),
-        as_column(status).cast("string").alias("status"),
-        as_column(item).cast("string").alias("item"),
-        as_column(measured).cast("double").alias("measured"),
-    )
+def _text(value: str) -> str:
+    """SQL literal."""
+    return "'" + value.replace("'", "\\'") + "'"
 
 
-def _status(ok: Column, critical: bool = False) -> Column:
-    return F.when(ok, "PASS").otherwise("FAIL_CRITICAL" if critical else "FAIL_WARNING")
+def _line(check: str, status: str, item: str = "NULL", measured: str = "NULL") -> str:
+    """One report row as a SQL struct; the arguments are SQL expressions."""
+    return (
+        f"named_struct('check', CAST({check} AS STRING), 'status', {status}, 'item', CAST({item} AS STRING), "
+        f"'measured', CAST({measured} AS DOUBLE))"
+    )
 
 
-def _text(*parts) -> Column:
-    return F.concat(*[p.cast("string") if isinstance(p, Column) else F.lit(p) for p in parts])
+def _status(ok: str, critical: bool = False) -> str:
+    return f"IF({ok}, 'PASS', '{'FAIL_CRITICAL' if critical else 'FAIL_WARNING'}')"
 
 
-def _outside(name: str) -> Column:
+def _outside(name: str) -> str:
     """Value outside the allowed set. A missing value counts only for the senior flag."""
-    outside = ~F.col(name).isin(ALLOWED[name])
-    return F.coalesce(outside, F.lit(name == "senior_citizen"))
+    missing = "true" if name == "senior_citizen" else "false"
+    return f"coalesce({name} NOT IN ({', '.join(_text(v) for v in ALLOWED[name])}), {missing})"
 
 
 def duplicate_rows(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -54,17 +53,12 @@ def unexpected_values(raw: DataFrame) -> DataFrame:
 
     Rows without any such value are dropped before the columns are fanned out.
     """
-    suspects = raw.filter(reduce(lambda a, b: a | b, [_outside(c) for c in ALLOWED]))
-    pairs = F.array(
-        *[
-            F.struct(
-                F.lit(HEADER_OF[c]).alias("column_name"), F.col(c).alias("value"), _outside(c).alias("outside")
-            )
-            for c in ALLOWED
-        ]
+    pairs = ", ".join(
+        f"named_struct('column_name', {_text(HEADER_OF[c])}, 'value', {c}, 'outside', {_outside(c)})" for c in ALLOWED
     )
     return (
-        suspects.select(F.inline(pairs))
+        raw.filter(" OR ".join(_outside(c) for c in ALLOWED))
+        .selectExpr(f"inline(array({pairs}))")
         .filter("outside")
         .groupBy("column_name", "value")
         .agg(F.count("*").alias("row_count"))
@@ -95,72 +89,68 @@ def validation_report(raw: DataFrame) -> DataFrame:
         line = (f"Required columns present (missing: {', '.join(missing)})", "FAIL_CRITICAL", None, float(len(missing)))
         return spark.createDataFrame([line], _REPORT)
 
-    tenure, charge = F.col("tenure_months"), F.col("monthly_charges")
     measures = {
-        "n": F.count("*"),
-        "tenure_ok": F.coalesce(F.bool_and(F.coalesce(tenure >= 0, F.lit(False))), F.lit(True)),
-        "tenure_bad": F.count_if(tenure < 0),
-        "charge_ok": F.coalesce(F.bool_and(F.coalesce(charge > 0, F.lit(False))), F.lit(True)),
-        "charge_bad": F.count_if(charge <= 0),
-        "tenure_max": F.max(tenure),
-        "blank": F.count_if(F.col("total_charges").try_cast("double").isNull()),
-        "tenure_zero": F.count_if(tenure == 0),
-        "yes": F.count_if(F.col("churn_label") == "Yes"),
-        **{f"out_{c}": F.count_if(_outside(c)) for c in ALLOWED},
-        **{f"null_{c}": F.count_if(F.col(c).isNull()) for c in raw.columns},
+        "n": "count(*)",
+        "tenure_ok": "coalesce(bool_and(coalesce(tenure_months >= 0, false)), true)",
+        "tenure_bad": "count_if(tenure_months < 0)",
+        "charge_ok": "coalesce(bool_and(coalesce(monthly_charges > 0, false)), true)",
+        "charge_bad": "count_if(monthly_charges <= 0)",
+        "tenure_max": "max(tenure_months)",
+        "blank": "count_if(try_cast(total_charges AS DOUBLE) IS NULL)",
+        "tenure_zero": "count_if(tenure_months = 0)",
+        "yes": "count_if(churn_label = 'Yes')",
+        **{f"out_{c}": f"count_if({_outside(c)})" for c in ALLOWED},
+        **{f"null_{c}": f"count_if(`{c}` IS NULL)" for c in raw.columns},
     }
-    one = raw.agg(*[m.alias(k) for k, m in measures.items()]).withColumn(
+    one = raw.agg(*[F.expr(f"{rule} AS `{name}`") for name, rule in measures.items()]).withColumn(
         "duplicates", duplicate_rows(raw, ["customer_id"]).scalar()
     )
-    c = F.col
-    rows = [
-        _row("Required columns present (missing: none)", "PASS", measured=0),
-        _row(
-            _text("CustomerID uniqueness (duplicates: ", c("duplicates"), ")"),
-            _status(c("duplicates") == 0, critical=True),
-            measured=c("duplicates"),
+    lines = [
+        _line("'Required columns present (missing: none)'", "'PASS'", measured="0"),
+        _line(
+            "concat('CustomerID uniqueness (duplicates: ', duplicates, ')')",
+            _status("duplicates = 0", critical=True),
+            measured="duplicates",
         ),
     ]
     for name in ALLOWED:
-        n = c(f"out_{name}")
-        found = F.when(n == 0, "none").otherwise(_text(n, " rows"))
-        rows.append(
-            _row(
-                _text(f"Allowed values for '{HEADER_OF[name]}' (unexpected: ", found, ")"), _status(n == 0), measured=n
+        n = f"out_{name}"
+        label = f"Allowed values for '{HEADER_OF[name]}' (unexpected: "
+        found = f"IF({n} = 0, 'none', concat({n}, ' rows'))"
+        lines.append(_line(f"concat({_text(label)}, {found}, ')')", _status(f"{n} = 0"), measured=n))
+    for label, name in (("Tenure Months >= 0", "tenure"), ("Monthly Charges > 0", "charge")):
+        lines.append(
+            _line(
+                f"concat('{label} (violations: ', {name}_bad, ')')",
+                _status(f"{name}_ok", critical=True),
+                measured=f"{name}_bad",
             )
         )
-    rows += [
-        _row(
-            _text("Tenure Months >= 0 (violations: ", c("tenure_bad"), ")"),
-            _status(c("tenure_ok"), critical=True),
-            measured=c("tenure_bad"),
+    lines += [
+        _line(
+            f"'Tenure Months max reasonable (<= {MAX_TENURE} months)'",
+            _status(f"coalesce(tenure_max <= {MAX_TENURE}, false)"),
+            measured="tenure_max",
         ),
-        _row(
-            _text("Monthly Charges > 0 (violations: ", c("charge_bad"), ")"),
-            _status(c("charge_ok"), critical=True),
-            measured=c("charge_bad"),
-        ),
-        _row(
-            f"Tenure Months max reasonable (<= {MAX_TENURE} months)",
-            _status(F.coalesce(c("tenure_max") <= MAX_TENURE, F.lit(False))),
-            measured=c("tenure_max"),
-        ),
-        _row(
-            _text("Total Charges blanks (", c("blank"), ") match Tenure=0 rows (", c("tenure_zero"), ")"),
-            _status(c("blank") == c("tenure_zero")),
-            measured=c("blank"),
+        _line(
+            "concat('Total Charges blanks (', blank, ') match Tenure=0 rows (', tenure_zero, ')')",
+            _status("blank = tenure_zero"),
+            measured="blank",
         ),
         *[
-            _row("Missingness report", "INFO", HEADER_OF.get(name, name), c(f"null_{name}"))
+            _line("'Missingness report'", "'INFO'", _text(HEADER_OF.get(name, name)), f"`null_{name}`")
             for name in raw.columns
         ],
-        _row("Target distribution", "INFO", "churn_rate", half_even(ratio(c("yes"), c("n")), 4)),
     ]
-    report = one.select(F.inline(F.array(*rows))).filter(
-        (F.col("check") != "Missingness report") | (F.col("measured") > 0)
+    share = half_even(ratio(F.col("yes"), F.col("n")), 4)
+    lines.append(_line("'Target distribution'", "'INFO'", "'churn_rate'", "share"))
+    report = (
+        one.withColumn("share", share)
+        .selectExpr(f"inline(array({', '.join(lines)}))")
+        .filter("check <> 'Missingness report' OR measured > 0")
     )
-    labels = label_counts(raw).select(
-        F.inline(F.array(_row("Target distribution", "INFO", F.col("churn_label"), F.col("row_count"))))
+    labels = label_counts(raw).selectExpr(
+        f"inline(array({_line(_text('Target distribution'), _text('INFO'), 'churn_label', 'row_count')}))"
     )
     return report.unionByName(labels)
 
@@ -215,23 +205,27 @@ PARENT = "dim_subscriber"
 CHILDREN = [*[name for name in STAR if name != PARENT], "fact_prediction"]
 
 
-def _row_rules(name: str, columns: list[str]) -> list[tuple[str, str, Column]]:
-    """(kind, column, violated) of the rules one row can break. A NULL breaks only its not-null rule."""
+def _row_rules(name: str, columns: list[str]) -> list[tuple[str, str, str]]:
+    """(kind, column, condition of a violation) of the rules one row can break. A NULL breaks only its
+    not-null rule."""
     required = REQUIRED_IN_REGISTRY if name == "model_run" else columns
-    rules = [("not_null", c, F.col(c).isNull()) for c in required]
-    rules += [("enum", c, ~F.col(c).isin(values)) for c, values in ENUMS.get(name, {}).items()]
-    rules += [("code", c, ~F.col(c).isin(values)) for c, values in CODES.get(name, {}).items()]
-    rules += [("range", c, ~F.expr(rule)) for c, rule in RANGES.get(name, {}).items()]
+    rules = [("not_null", c, f"{c} IS NULL") for c in required]
+    for kind, domains in (("enum", ENUMS), ("code", CODES)):
+        for c, values in domains.get(name, {}).items():
+            listed = ", ".join(_text(v) if isinstance(v, str) else str(v) for v in values)
+            rules.append((kind, c, f"{c} NOT IN ({listed})"))
+    rules += [("range", c, f"NOT ({rule})") for c, rule in RANGES.get(name, {}).items()]
     return rules
 
 
-def _violation(name: str, kind: str, column: str, count: Column) -> Column:
-    return F.struct(
-        F.lit(name).alias("table_name"),
-        F.lit(kind).alias("rule_kind"),
-        F.lit(column).alias("column_name"),
-        count.cast("bigint").alias("violations"),
+def _violations(counts: DataFrame, name: str, lines: list[tuple[str, str, str]]) -> DataFrame:
+    """Rows (table, kind, column, violations) from one row of counts."""
+    structs = ", ".join(
+        f"named_struct('table_name', '{name}', 'rule_kind', '{kind}', 'column_name', '{column}', "
+        f"'violations', CAST({count} AS BIGINT))"
+        for kind, column, count in lines
     )
+    return counts.selectExpr(f"inline(array({structs}))")
 
 
 def constraint_violations(tables: dict[str, DataFrame]) -> DataFrame:
@@ -241,18 +235,16 @@ def constraint_violations(tables: dict[str, DataFrame]) -> DataFrame:
     anti join on the bucket column, so neither moves rows of a stored table.
     """
     parts = []
+    parent = tables[PARENT].select("subscriber_id")
     for name, df in tables.items():
         rules = _row_rules(name, df.columns)
-        counts = df.agg(*[F.count_if(broken).alias(f"r{i}") for i, (_, _, broken) in enumerate(rules)])
-        lines = [_violation(name, kind, c, F.col(f"r{i}")) for i, (kind, c, _) in enumerate(rules)]
-        parts.append(counts.select(F.inline(F.array(*lines))))
+        counts = df.agg(*[F.expr(f"count_if({broken}) AS r{i}") for i, (_, _, broken) in enumerate(rules)])
+        parts.append(_violations(counts, name, [(kind, c, f"r{i}") for i, (kind, c, _) in enumerate(rules)]))
         key = PRIMARY_KEYS[name]
-        copies = duplicate_rows(df, key)
-        parts.append(copies.select(F.inline(F.array(_violation(name, "primary_key", ",".join(key), F.col("duplicates"))))))
-    parent = tables[PARENT].select("subscriber_id")
+        parts.append(_violations(duplicate_rows(df, key), name, [("primary_key", ",".join(key), "duplicates")]))
     for name in CHILDREN:
         orphans = tables[name].join(parent, "subscriber_id", "left_anti").agg(F.count("*").alias("n"))
-        parts.append(orphans.select(F.inline(F.array(_violation(name, "foreign_key", "subscriber_id", F.col("n"))))))
+        parts.append(_violations(orphans, name, [("foreign_key", "subscriber_id", "n")]))
     return reduce(DataFrame.unionByName, parts)
 
 

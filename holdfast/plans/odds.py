@@ -92,15 +92,10 @@ def odds_ratios(wh: Warehouse) -> DataFrame:
 def gram_matrix(wh: Warehouse) -> DataFrame:
     """Sums of products of all column pairs (upper triangle), one row per pair, from one aggregate pass."""
     names = list(DESIGN)
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
-    sums = design(wh).agg(*[half_away(F.sum(F.col(a) * F.col(b)), 4).alias(f"s{i}") for i, (a, b) in enumerate(pairs)])
-    cells = [
-        F.struct(
-            F.lit(names.index(a) + 1).alias("i"), F.lit(names.index(b) + 1).alias("j"), F.col(f"s{k}").alias("s")
-        )
-        for k, (a, b) in enumerate(pairs)
-    ]
-    return sums.select(F.inline(F.array(*cells)))
+    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
+    sums = design(wh).agg(*[F.expr(f"sum({names[i]} * {names[j]}) AS s{k}") for k, (i, j) in enumerate(pairs)])
+    cells = ", ".join(f"named_struct('i', {i + 1}, 'j', {j + 1}, 's', s{k})" for k, (i, j) in enumerate(pairs))
+    return sums.selectExpr(f"inline(array({cells}))").select("i", "j", half_away(F.col("s"), 4).alias("s"))
 
 
 @F.pandas_udf(ArrayType(DoubleType()))
