@@ -182,7 +182,7 @@ _checks.append(
            "FAIL_WARNING", _blank)
 )
 _checks += [
-    f"SELECT 'Missingness report', 'INFO', '{HEADER_OF.get(c, c)}', count(*)::DOUBLE FROM raw_subscribers WHERE {c} IS NULL HAVING count(*) > 0"
+    f"SELECT 'Missingness report', 'INFO', '{HEADER_OF.get(c, 'Churn Reason')}', count(*)::DOUBLE FROM raw_subscribers WHERE {c} IS NULL HAVING count(*) > 0"
     for c in RAW_NAMES
 ]
 _checks.append(

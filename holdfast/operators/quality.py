@@ -138,7 +138,7 @@ def validation_report(raw: DataFrame) -> DataFrame:
             measured="blank",
         ),
         *[
-            _line("'Missingness report'", "'INFO'", _text(HEADER_OF.get(name, name)), f"`null_{name}`")
+            _line("'Missingness report'", "'INFO'", _text(HEADER_OF.get(name, name.replace("_", " ").title())), f"`null_{name}`")
             for name in raw.columns
         ],
     ]
