@@ -90,14 +90,16 @@ class Warehouse:
         self.spark.sql(f"DROP TABLE IF EXISTS {stage}")
         merged = upsert(touched, new, PREDICTION_KEY)
         merged.write.mode("overwrite").saveAsTable(stage)
-        (
-            self.spark.table(stage)
-            .repartition(buckets(self.spark), KEY)
-            .select(*stored.columns)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .insertInto(f"{self.namespace}.fact_prediction")
-        )
+        staged = self.spark.table(stage).repartition(buckets(self.spark), KEY).select(*stored.columns)
+        # insertInto takes the overwrite mode from the session only; as a writer option it would be ignored
+        # and every other run would be lost.
+        mode = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(mode)
+        self.spark.conf.set(mode, "dynamic")
+        try:
+            staged.write.mode("overwrite").insertInto(f"{self.namespace}.fact_prediction")
+        finally:
+            self.spark.conf.set(mode, before)
 
 
 def buckets(spark: SparkSession) -> int:
@@ -111,7 +113,8 @@ def build(spark: SparkSession, features: DataFrame, predictions, registry: DataF
     The feature rows are de-duplicated and stored once; the star tables are narrow copies of that table,
     so the upstream joins run once and not five times.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {namespace} LOCATION '{shared_dir(spark)}/{namespace}'")
+    folder = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{namespace}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {namespace} LOCATION '{folder}'")
 
     def bucketed(df: DataFrame, name: str, partition_by: str | None = None) -> None:
         writer = df.write.mode("overwrite").format("parquet").bucketBy(buckets(spark), KEY).sortBy(KEY)

@@ -129,4 +129,5 @@ def test_stored_upsert_rewrites_only_its_run(spark, wh):
     stored = own.table("fact_prediction")
     assert stored.count() == 600
     assert stored.filter("run_id = 'r2' AND subscriber_id = 'S1'").first().risk_score == 0.5
+    assert stored.filter("run_id = 'r2'").count() == 150
     assert isinstance(open_warehouse(spark, SMALL), Warehouse)
