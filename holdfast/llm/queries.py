@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import simhash, suffix_dedup
+from holdfast.llm import quality_rules, simhash, suffix_dedup
 from holdfast.llm.common import table
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicate_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -21,6 +25,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_quality_rules": op5_quality_rules,
     "op7_simhash_groups": op7_simhash_groups,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
