@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import quality_rules, simhash, suffix_dedup
+from holdfast.llm import quality_rules, simhash, suffix_dedup, token_store
 from holdfast.llm.common import table
+from holdfast.session import shared_dir
+
+#: Folder of the public tokenizer files, the same on every machine.
+TOKENIZERS = "/opt/tokenizers"
+
+
+def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark)}/llm/tokens-{uuid.uuid4().hex}"
+    store = token_store.write_tokens(table(spark, sf_dir, "documents"), path, f"{TOKENIZERS}/word_bpe_49k.json", 2)
+    return store.documents()
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +36,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_store": op1_token_store,
     "op5_quality_rules": op5_quality_rules,
     "op7_simhash_groups": op7_simhash_groups,
     "op10_suffix_dedup": op10_suffix_dedup,
