@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import quality_rules, simhash, suffix_dedup, token_store
+from holdfast.llm import bpe_trie, quality_rules, simhash, suffix_dedup, token_store
 from holdfast.llm.common import table
 from holdfast.session import shared_dir
 
@@ -31,6 +31,10 @@ def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op8_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_trie.encoding_report(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removal_report(table(spark, sf_dir, "documents"))
 
@@ -39,6 +43,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
     "op5_quality_rules": op5_quality_rules,
     "op7_simhash_groups": op7_simhash_groups,
+    "op8_bpe_trie": op8_bpe_trie,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 
