@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import bpe_trie, decontamination, quality_rules, simhash, suffix_dedup, token_store
+from holdfast.llm import bpe_trie, decontamination, html_blocks, quality_rules, simhash, suffix_dedup, token_store
 from holdfast.llm.common import table
 from holdfast.session import shared_dir
 
@@ -22,6 +22,10 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.documents()
 
 
+def op2_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -45,6 +49,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
+    "op2_html_blocks": op2_html_blocks,
     "op3_decontamination": op3_decontamination,
     "op5_quality_rules": op5_quality_rules,
     "op7_simhash_groups": op7_simhash_groups,
