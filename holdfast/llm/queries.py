@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import bpe_trie, decontamination, html_blocks, quality_rules, simhash, suffix_dedup, token_store
+from holdfast.llm import bpe_trie, decontamination, html_blocks, quality_rules, rule_ensemble, simhash, suffix_dedup, token_store
 from holdfast.llm.common import table
 from holdfast.session import shared_dir
 
@@ -34,6 +34,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_ensemble.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicate_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_html_blocks": op2_html_blocks,
     "op3_decontamination": op3_decontamination,
     "op5_quality_rules": op5_quality_rules,
+    "op6_rule_ensemble": op6_rule_ensemble,
     "op7_simhash_groups": op7_simhash_groups,
     "op8_bpe_trie": op8_bpe_trie,
     "op10_suffix_dedup": op10_suffix_dedup,
