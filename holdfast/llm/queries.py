@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import bpe_trie, decontamination, html_blocks, quality_rules, rule_ensemble, simhash, suffix_dedup, token_store
+from holdfast.llm import bpe_trie, decontamination, html_blocks, quality_rules, rule_ensemble, simhash, suffix_dedup, token_store, url_lists
 from holdfast.llm.common import table
 from holdfast.session import shared_dir
 
@@ -47,6 +47,11 @@ def op8_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_trie.encoding_report(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
 
 
+def op9_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_lists.judged(url_lists.captures_of(pages), url_lists.entries_of(pages))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removal_report(table(spark, sf_dir, "documents"))
 
@@ -59,7 +64,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_rule_ensemble": op6_rule_ensemble,
     "op7_simhash_groups": op7_simhash_groups,
     "op8_bpe_trie": op8_bpe_trie,
+    "op9_url_lists": op9_url_lists,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op9_url_lists": url_lists.ORACLE}
