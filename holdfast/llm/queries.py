@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import bpe_trie, decontamination, html_blocks, quality_rules, rule_ensemble, simhash, suffix_dedup, token_store, url_lists
+from holdfast.llm import bpe_trie, decontamination, html_blocks, licenses, quality_rules, rule_ensemble, simhash, suffix_dedup, token_store, url_lists
 from holdfast.llm.common import table
 from holdfast.session import shared_dir
 
@@ -30,6 +30,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
     "op2_html_blocks": op2_html_blocks,
     "op3_decontamination": op3_decontamination,
+    "op4_license_scan": op4_license_scan,
     "op5_quality_rules": op5_quality_rules,
     "op6_rule_ensemble": op6_rule_ensemble,
     "op7_simhash_groups": op7_simhash_groups,
