@@ -193,15 +193,10 @@ _checks.append(
 )
 ORACLE["validation_report"] = on("raw_subscribers", " UNION ALL ".join(_checks))
 
-_texts = [
-    "coalesce(round_even(monthly_charges * 100, 0)::BIGINT::VARCHAR, '~')" if c == "monthly_charges"
-    else f"coalesce({c}::VARCHAR, '~')"
-    for c in RAW_NAMES
-]
+_fields = " || ".join(f"coalesce(length({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')" for c in RAW_NAMES)
+_words = " || '-' || ".join(f"sum(('0x' || substr(h, {at}, 8))::BIGINT)::VARCHAR" for at in (1, 9, 17, 25))
 ORACLE["table_fingerprint"] = on(
-    "raw_subscribers",
-    f"""SELECT count(*) AS row_count, sum(('0x' || substr(md5(concat_ws('|', {', '.join(_texts)})), 1, 8))::BIGINT)::VARCHAR
-    AS content_sum FROM raw_subscribers""",
+    "raw_subscribers", f"SELECT count(*) AS row_count, {_words} AS content_sum FROM (SELECT md5({_fields}) AS h FROM raw_subscribers)"
 )
 
 # Star schema ---------------------------------------------------------------------------------------------
@@ -313,7 +308,7 @@ ORACLE["table_row_counts"] = over_features(
 ORACLE["command_center_kpis"] = on("watchlist", f"""
 SELECT count(*) AS total_subscribers, {even('sum(churned_flag)::DOUBLE / count(*) * 100', 1)} AS churn_rate,
   {even(msum('monthly_charge'), 2)} AS mrr, {even(msum(_lost), 2)} AS churned_mrr,
-  (SELECT least(500, count(*)) FROM watchlist) AS watchlist_count
+  (SELECT count(*) FROM watchlist) AS watchlist_count
 FROM features""")
 for _name, _keys in (
     ("churn_rate_by_contract", "contract_type"), ("churn_rate_by_payment", "payment_method"),
@@ -488,7 +483,7 @@ ORACLE["numeric_tests"] = on(
       FROM tails""",
     vals="""SELECT 'tenure_months' AS feature, tenure_months::DOUBLE AS v, churned_flag AS c FROM features
       UNION ALL SELECT 'monthly_charge', monthly_charge, churned_flag FROM features""",
-    means="SELECT feature, c, count(*) AS n, sum(v::DECIMAL(18,2))::DOUBLE / count(*) AS m FROM vals GROUP BY feature, c",
+    means="SELECT feature, c, count(*) AS n, avg(v) AS m FROM vals GROUP BY feature, c",
     groups="""SELECT feature, c, any_value(n) AS n, any_value(m) AS m, sqrt(sum(power(v - m, 2)) / (count(*) - 1)) AS s,
       (sum(power(v - m, 3)) / count(*)) / power(sum(power(v - m, 2)) / count(*), 15e-1) AS g
       FROM vals JOIN means USING (feature, c) GROUP BY feature, c""",

@@ -13,9 +13,13 @@ MONEY = "decimal(18,2)"
 
 
 def half_away(x: Column, digits: int) -> Column:
-    """Round half away from zero (the rule of ROUND in SQL reports)."""
+    """Round half away from zero (the rule of ROUND in SQL reports). Stays in doubles, since ``floor`` gives a bigint that
+    saturates; doubles from 2^52 / 10^digits on have no digits to round and stay as they are."""
     scale = float(10**digits)
-    return F.signum(x) * F.floor(F.abs(x) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    shifted = F.abs(x) * F.lit(scale) + F.lit(0.5)
+    nearest = F.rint(shifted)
+    floor = nearest - F.when(nearest > shifted, F.lit(1.0)).otherwise(F.lit(0.0))
+    return F.when(F.abs(x) >= F.lit(2.0**52 / scale), x).otherwise(F.signum(x) * floor / F.lit(scale))
 
 
 def half_even(x: Column, digits: int) -> Column:

@@ -55,7 +55,7 @@ def chi_square(table: DataFrame) -> DataFrame:
         "n_cols", F.when((F.col("positives") > 0) & (F.col("positives") < F.col("total")), 2).otherwise(1)
     )
     dof = (F.col("n_rows") - 1) * (F.col("n_cols") - 1)
-    expected = ratio(F.col("n") * F.col("positives"), F.col("total"))
+    expected = ratio(F.col("n").cast("double") * F.col("positives").cast("double"), F.col("total"))
     other = F.col("n") - expected
     gap = F.abs(F.col("k") - expected)
     gap = gap - F.when(dof == 1, F.least(F.lit(0.5), gap)).otherwise(0.0)

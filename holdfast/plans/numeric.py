@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.functions.rounding import half_even, money_avg, ratio
+from holdfast.functions.rounding import half_even, ratio
 from holdfast.functions.tails import normal_p, student_p
 from holdfast.functions.text import COHENS_D_LADDER, fixed, ladder
 from holdfast.operators.prefix import running_totals
@@ -46,7 +46,7 @@ def moments(values: DataFrame) -> DataFrame:
         x = F.when(F.col("label") == flag, value)
         aggregates += [
             F.count(x).alias(f"n_{group}"),
-            money_avg(x).alias(f"mean_{group}"),
+            F.avg(x).alias(f"mean_{group}"),
             F.stddev_samp(x).alias(f"std_{group}"),
             F.skewness(x).alias(f"skew_{group}"),
         ]

@@ -216,9 +216,9 @@ def table_row_counts(wh: Warehouse) -> DataFrame:
 # Command-centre and segment-explorer tables ------------------------------------------------------------
 
 
-def command_center_kpis(wh: Warehouse, watchlist_cap: int = 500) -> DataFrame:
+def command_center_kpis(wh: Warehouse) -> DataFrame:
     charge = F.col("monthly_charge")
-    listed = wh.watchlist_scores().limit(watchlist_cap).agg(F.count("*"))
+    listed = wh.watchlist_scores().agg(F.count("*"))
     return (
         wh.star("fact_billing", "fact_attrition_label")
         .agg(
