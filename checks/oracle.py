@@ -346,7 +346,7 @@ SELECT count(*) AS "count", {away(f"({msum('monthly_charge')} * 12)", 2)} AS arr
   {away(f"({mavg('monthly_charge')} * 12)", 2)} AS avg_arr FROM watchlist""")
 ORACLE["watchlist_detail"] = on("watchlist", f"""
 SELECT {_WATCH}, gender, has_partner, has_dependents, internet_service, services_count, online_security, tech_support,
-  streaming_tv, streaming_movies FROM watchlist WHERE place = 1""")
+  streaming_tv, streaming_movies FROM watchlist WHERE subscriber_id = 'S1'""")
 _cohort = f"SELECT count(*) AS n, {mavg('monthly_charge')} AS a FROM watchlist WHERE risk_score >= 42e-2"
 
 

@@ -21,8 +21,16 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column] | None = N
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
-    """Rows of ``new`` replace rows of ``old`` with the same key; several new rows per key keep one."""
-    incoming = first_per_key(new, keys, order)
+    """Rows of ``new`` replace rows of ``old`` with the same key. Of several new rows per key the first in ``order``
+    counts (order by a sequence, newest first, to keep the last); without an order they raise an error."""
+    if order is None:
+        # aggregates every column, so that one pass both counts the copies and carries the single row
+        copies = F.when(F.count("*") > 1, F.raise_error(F.lit(f"several new rows per {', '.join(keys)}; give an order")))
+        others = [c for c in new.columns if c not in keys]
+        incoming = new.groupBy(*keys).agg(*[F.first(c).alias(c) for c in others], copies.cast("int").alias("_copies"))
+        incoming = incoming.filter("_copies IS NULL").drop("_copies")
+    else:
+        incoming = first_per_key(new, keys, order)
     return old.join(incoming.select(*keys), keys, "left_anti").unionByName(incoming.select(*old.columns))
 
 

@@ -82,7 +82,7 @@ QUERIES: dict[str, Query] = {
     "call_list": _on_warehouse(watchlist.call_list),
     "watchlist_page": _on_warehouse(lambda wh: watchlist.watchlist_page(wh, page=3)),
     "watchlist_kpi": _on_warehouse(watchlist.watchlist_kpi),
-    "watchlist_detail": _on_warehouse(watchlist.watchlist_detail),
+    "watchlist_detail": _on_warehouse(lambda wh: watchlist.watchlist_detail(wh, "S1")),
     "retention_plan": _on_warehouse(watchlist.retention_plan),
     "retention_plan_grid": _on_warehouse(watchlist.retention_plan_grid),
     "retention_value_grid": _on_warehouse(lambda wh: watchlist.retention_plan_grid(wh, mode="assumption")),

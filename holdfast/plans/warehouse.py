@@ -9,10 +9,11 @@ partitioned by ``run_id``, so a report on one run reads only that run.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast.operators.clean import clean
@@ -51,13 +52,18 @@ class Warehouse:
         ranking need no join."""
         return of_run(self.table("fact_prediction"), preferred_run(self.table("model_run")))
 
-    def scored_watchlist(self, top: int | None = None, skip: int = 0) -> DataFrame:
+    def scored_watchlist(
+        self, top: int | None = None, skip: int = 0, after: tuple[float, str] | None = None
+    ) -> DataFrame:
         """Predictions of the preferred run with the profile columns of the call list.
 
         The whole list is left unordered. With ``top``, the highest scores are picked first and only those
-        rows are joined to their profile.
+        rows are joined to their profile. With ``after``, a score and an id, only rows ranked behind them count.
         """
         scores = self.watchlist_scores()
+        if after is not None:
+            score, key = after
+            scores = scores.filter((F.col("risk_score") < score) | ((F.col("risk_score") == score) & (F.col(KEY) > key)))
         if top is not None:
             scores = scores.orderBy(F.desc("risk_score"), KEY).offset(skip).limit(top)
         profile = self.star("dim_subscriber", "dim_contract", "fact_billing", "fact_attrition_label")
@@ -73,13 +79,23 @@ class Warehouse:
         self.subscriber_360().createOrReplaceTempView("vw_subscriber_360")
         self.scored_watchlist().createOrReplaceTempView("vw_scored_watchlist")
 
+    def _own_session(self) -> SparkSession:
+        """A session with the same catalog and its own views and settings."""
+        own = self.spark.newSession()
+        for setting in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
+            own.conf.set(setting, self.spark.conf.get(setting))
+        return own
+
     def sql(self, text: str, args: dict | None = None) -> DataFrame:
-        """SQL over the registered views, with bound parameters."""
-        self.register_views()
-        return self.spark.sql(text, args=args)
+        """SQL over the views, with bound parameters. The views are registered in a session of their own, so
+        several warehouses can be used side by side."""
+        own = Warehouse(self._own_session(), self.namespace)
+        own.register_views()
+        return own.spark.sql(text, args=args)
 
-    def upsert_predictions(self, new: DataFrame) -> None:
-        """Replace the stored predictions of the runs found in ``new``, row by row on the key.
+    def upsert_predictions(self, new: DataFrame, order: list[Column] | None = None) -> None:
+        """Replace the stored predictions of the runs found in ``new``, row by row on the key. Of several new rows
+        of one key the first in ``order`` counts; without an order such rows are an error.
 
         Only the touched ``run_id`` partitions are rewritten. The merged rows are staged as a table in the
         shared folder first, because a plan must not overwrite the files it reads.
@@ -88,18 +104,15 @@ class Warehouse:
         touched = stored.join(new.select("run_id").distinct(), "run_id", "left_semi")
         stage = f"{self.namespace}.fact_prediction_stage"
         self.spark.sql(f"DROP TABLE IF EXISTS {stage}")
-        merged = upsert(touched, new, PREDICTION_KEY)
+        merged = upsert(touched, new, PREDICTION_KEY, order)
         merged.write.mode("overwrite").saveAsTable(stage)
-        staged = self.spark.table(stage).repartition(buckets(self.spark), KEY).select(*stored.columns)
-        # insertInto takes the overwrite mode from the session only; as a writer option it would be ignored
-        # and every other run would be lost.
-        mode = "spark.sql.sources.partitionOverwriteMode"
-        before = self.spark.conf.get(mode)
-        self.spark.conf.set(mode, "dynamic")
-        try:
-            staged.write.mode("overwrite").insertInto(f"{self.namespace}.fact_prediction")
-        finally:
-            self.spark.conf.set(mode, before)
+        # insertInto takes the overwrite mode from the session only, so the write has a session of its own
+        own = self._own_session()
+        own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        staged = own.table(stage).repartition(buckets(self.spark), KEY).select(*stored.columns)
+        staged.write.mode("overwrite").insertInto(f"{self.namespace}.fact_prediction")
+        self.spark.catalog.refreshTable(f"{self.namespace}.fact_prediction")
+        self.spark.sql(f"DROP TABLE IF EXISTS {stage}")
 
 
 def buckets(spark: SparkSession) -> int:
@@ -107,9 +120,14 @@ def buckets(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def build(spark: SparkSession, features: DataFrame, predictions, registry: DataFrame, namespace: str) -> Warehouse:
+def build(
+    spark: SparkSession, features: DataFrame, predictions, registry: DataFrame, namespace: str, n_buckets: int | None = None
+) -> Warehouse:
     """Write all tables. ``predictions`` maps the stored feature table to prediction rows.
 
+    ``n_buckets`` fixes the number of buckets of each table; size it so that one bucket of the widest table (about 300 bytes
+    a subscriber) is some 200 MB. By default it is the shuffle width of the session.
+
     The feature rows are de-duplicated and stored once; the star tables are narrow copies of that table,
     so the upstream joins run once and not five times.
     """
@@ -117,7 +135,7 @@ def build(spark: SparkSession, features: DataFrame, predictions, registry: DataF
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {namespace} LOCATION '{folder}'")
 
     def bucketed(df: DataFrame, name: str, partition_by: str | None = None) -> None:
-        writer = df.write.mode("overwrite").format("parquet").bucketBy(buckets(spark), KEY).sortBy(KEY)
+        writer = df.write.mode("overwrite").format("parquet").bucketBy(n_buckets or buckets(spark), KEY).sortBy(KEY)
         if partition_by:
             writer = writer.partitionBy(partition_by)
         writer.saveAsTable(f"{namespace}.{name}")
@@ -139,7 +157,8 @@ def open_warehouse(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> W
     application = spark.sparkContext.applicationId
     key = (application, sf_dir)
     if rebuild or key not in _OPEN:
-        namespace = "holdfast_" + hashlib.md5(f"{application}|{sf_dir}".encode()).hexdigest()[:12]
+        # every build has its own tables, so nothing that was derived from an earlier one can be mistaken for it
+        namespace = "holdfast_" + hashlib.md5(f"{application}|{sf_dir}|{uuid.uuid4()}".encode()).hexdigest()[:12]
         features = add_features(clean(fixture.raw_subscribers(spark, sf_dir)))
         _OPEN[key] = build(spark, features, fixture.predictions, fixture.registry(spark), namespace)
     wh = _OPEN[key]

@@ -33,14 +33,26 @@ def top_risk_preview(wh: Warehouse, top: int = 3) -> DataFrame:
     )
 
 
-def watchlist_page(wh: Warehouse, page: int = 1, per_page: int = 6) -> DataFrame:
-    """One page of the ranked watchlist with the total and the number of pages."""
-    total = wh.watchlist_scores().agg(F.count("*")).scalar()
+def watchlist_page(
+    wh: Warehouse, page: int = 1, per_page: int = 6, after: tuple[float, str] | None = None
+) -> DataFrame:
+    """One page of the ranked watchlist with the total and the number of pages.
+
+    With ``after``, the score and id of the last row seen, the page starts behind that row, which costs the same
+    at any depth; a page number has to pick all rows of the pages before. A page without rows is one row that
+    holds the totals alone.
+    """
+    if after is None:
+        rows = call_list(wh, per_page, (page - 1) * per_page)
+    else:
+        rows = wh.scored_watchlist(per_page, after=after)
+    totals = wh.watchlist_scores().agg(F.count("*").alias("total"))
+    pages = F.greatest(F.lit(1), F.ceil(F.col("total") / per_page)).cast("bigint")
+    on_page = rows.select(*ROW_COLUMNS).withColumn("total", totals.scalar())
     return (
-        call_list(wh, per_page, (page - 1) * per_page)
-        .select(*ROW_COLUMNS)
-        .withColumn("total", total)
-        .withColumn("total_pages", F.greatest(F.lit(1), F.ceil(F.col("total") / per_page)).cast("bigint"))
+        totals.join(on_page, "total", "left")
+        .select(*ROW_COLUMNS, "total", pages.alias("total_pages"))
+        .orderBy(F.desc("risk_score"), KEY)
     )
 
 

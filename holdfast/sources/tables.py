@@ -29,11 +29,6 @@ def read_raw_csv(spark: SparkSession, path: str, types: dict[str, str] | None =
     return text.select(*columns)
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Persisted intermediate (cleaned or feature table); Spark raises if it is missing."""
-    return spark.read.parquet(path)
-
-
 def land(spark: SparkSession, source_glob: str, landing: str) -> DataFrame:
     """Land raw CSV files as Parquet once; a landing that already exists is kept as it is."""
     read_raw_csv(spark, source_glob).write.mode("ignore").parquet(landing)

@@ -82,7 +82,32 @@ def test_empty_warehouse(spark, wh):
     assert reports.kpi_summary(empty).first().total_subscribers == 0
     plan_row = watchlist.retention_plan(empty).first()
     assert plan_row.cohort_count == 0 and plan_row.avg_mrr is None and plan_row.roi == 0.0
-    assert watchlist.watchlist_page(empty).count() == 0
+    page = watchlist.watchlist_page(empty).collect()
+    assert [(r.subscriber_id, r.total, r.total_pages) for r in page] == [(None, 0, 1)]
+
+
+def test_watchlist_pages(wh):
+    by_number = [watchlist.watchlist_page(wh, n, 40).collect() for n in (1, 2, 3, 4, 9)]
+    assert [len(p) for p in by_number] == [40, 40, 40, 30, 1]
+    assert all((r.total, r.total_pages) == (150, 4) for p in by_number for r in p) and by_number[4][0].subscriber_id is None
+    last = by_number[1][-1]
+    assert watchlist.watchlist_page(wh, per_page=40, after=(last.risk_score, last.subscriber_id)).collect() == by_number[2]
+    end = by_number[3][-1]
+    assert [r.total for r in watchlist.watchlist_page(wh, after=(end.risk_score, end.subscriber_id)).collect()] == [150]
+
+
+def test_sql_of_two_warehouses_side_by_side(spark, wh):
+    features = spark.table(f"{wh.namespace}.features").limit(3)
+    other = build(spark, features, fixture.predictions, fixture.registry(spark), "holdfast_other")
+    text = "SELECT count(*) AS n FROM vw_subscriber_360"
+    first, second = wh.sql(text), other.sql(text)
+    assert (first.first().n, second.first().n) == (150, 3)
+    assert not spark.catalog.tableExists("vw_subscriber_360")
+
+
+def test_rebuild_gives_new_tables(spark, wh):
+    again = open_warehouse(spark, SMALL, rebuild=True)
+    assert again.namespace != wh.namespace and again.table("fact_billing").count() == 150
 
 
 def test_unknown_query_is_an_error(spark):
@@ -125,7 +150,12 @@ def test_stored_upsert_rewrites_only_its_run(spark, wh):
     features = spark.table(f"{wh.namespace}.features")
     own = build(spark, features, fixture.predictions, fixture.registry(spark), "holdfast_upsert")
     new = own.table("fact_prediction").filter("run_id = 'r2' AND subscriber_id = 'S1'").withColumn("risk_score", F.lit(0.5))
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     own.upsert_predictions(new)
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
+    with pytest.raises(Exception, match="several new rows"):
+        own.upsert_predictions(new.unionByName(new))
+    own.upsert_predictions(new.withColumn("risk_score", F.lit(0.1)).unionByName(new), [F.desc("risk_score")])
     stored = own.table("fact_prediction")
     assert stored.count() == 600
     assert stored.filter("run_id = 'r2' AND subscriber_id = 'S1'").first().risk_score == 0.5
