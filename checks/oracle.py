@@ -11,7 +11,7 @@ from holdfast.operators.quality import (
 )
 from holdfast.plans.contingency import FEATURES
 from holdfast.plans.odds import DESIGN
-from holdfast.sources.fixture import RAW_SQL
+from holdfast.sources.fixture import RAW_SQL, faulty_sql
 from holdfast.sources.schema import (
     ALLOWED, HEADER_OF, INTERNET_ADD_ONS, PREDICTION_COLUMNS, RAW_COLUMNS, STAR,
 )
@@ -116,7 +116,7 @@ ORACLE: dict[str, str] = {
     "features": on("features", "SELECT * FROM features"),
     "label_counts": on(
         "raw_subscribers",
-        f"""SELECT churn_label, count(*) AS row_count, {even('count(*) / (sum(count(*)) OVER ())::DOUBLE', 4)} AS share
+        f"""SELECT churn_label, count(*) AS row_count, {even('count(*) / (SELECT count(*) FROM raw_subscribers)::DOUBLE', 4)} AS share
         FROM raw_subscribers WHERE churn_label IS NOT NULL GROUP BY churn_label""",
     ),
     "table_profile": on("raw_subscribers", "SELECT count(*) AS row_count, 22::BIGINT AS column_count FROM raw_subscribers"),
@@ -186,7 +186,7 @@ _checks += [
     for c in RAW_NAMES
 ]
 _checks.append(
-    f"SELECT 'Target distribution', 'INFO', 'churn_rate', {even('avg((churn_label = $$Yes$$)::INT)', 4)} FROM raw_subscribers".replace("$$", "'")
+    f"SELECT 'Target distribution', 'INFO', 'churn_rate', {even('count(*) FILTER (WHERE churn_label = $$Yes$$) / count(*)::DOUBLE', 4)} FROM raw_subscribers".replace("$$", "'")
 )
 _checks.append(
     "SELECT 'Target distribution', 'INFO', churn_label, count(*)::DOUBLE FROM raw_subscribers WHERE churn_label IS NOT NULL GROUP BY churn_label"
@@ -560,3 +560,27 @@ ORACLE["km_summary"] = on(
       FROM (SELECT *, d * coalesce((n - d) / nullif(n - 1, 0), 1) AS w FROM counts)""",
     pvalue="SELECT exp(-(z1 * z1 * v22 - 2 * z1 * z2 * v12 + z2 * z2 * v11) / (v11 * v22 - v12 * v12) / 2) AS p FROM sums",
 )
+
+# Faulty raw table ------------------------------------------------------------------------------------------
+
+ORACLE["deduplicated_features"] = on("features", "SELECT DISTINCT * FROM features")
+_sound = f"raw_subscribers AS ({TABLES['raw_subscribers']})"
+_faulty = f"raw_sound AS ({TABLES['raw_subscribers']}),\nraw_subscribers AS ({faulty_sql(RAW_NAMES, 'raw_sound')})"
+for _name in (
+    "cleaned_subscribers", "cleaning_log", "validation_report", "unexpected_values", "label_counts", "table_fingerprint",
+    "deduplicated_features",
+):
+    ORACLE[f"{_name}_faulty"] = ORACLE[_name].replace(_sound, _faulty)
+del ORACLE["deduplicated_features"]
+
+# Training inputs -------------------------------------------------------------------------------------------
+
+_split = lambda at: f"('0x' || substr(md5(subscriber_id || '|42'), {at}, 8))::BIGINT"
+ORACLE["training_split"] = on(
+    "features", f"SELECT subscriber_id, {_split(1)} % 100 < 20 AS held_out, ({_split(9)} % 5)::INT AS fold, churned_flag AS label FROM features"
+)
+ORACLE["class_weights"] = on(
+    "features",
+    "SELECT label, n_rows, n / (2e0 * n_rows) AS weight FROM sized, (SELECT sum(n_rows) AS n FROM sized)",
+    sized=f"SELECT churned_flag AS label, count(*) AS n_rows FROM features WHERE {_split(1)} % 100 >= 20 GROUP BY churned_flag",
+)

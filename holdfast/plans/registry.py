@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from holdfast.operators import quality
 from holdfast.operators.clean import clean, cleaning_log
 from holdfast.operators.features import add_features
-from holdfast.operators.keyed import latest_calibrated_run, of_run, upsert
+from holdfast.operators.keyed import first_per_key, latest_calibrated_run, of_run, upsert
 from holdfast.plans import contingency, metrics, numeric, odds, reports, survival, training, watchlist
-from holdfast.plans.warehouse import STAR, TABLES, Warehouse, open_warehouse
-from holdfast.sources.fixture import raw_subscribers
+from holdfast.plans.warehouse import KEY, STAR, TABLES, Warehouse, open_warehouse
+from holdfast.sources.fixture import faulty_subscribers, raw_subscribers
 from holdfast.sources.schema import PREDICTION_KEY
 from holdfast.sources.tables import fingerprint, profile
 
@@ -24,6 +24,10 @@ def _on_raw(plan: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, folder: plan(raw_subscribers(spark, folder))
 
 
+def _on_faulty(plan: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, folder: plan(faulty_subscribers(spark, folder))
+
+
 def _on_warehouse(plan: Callable[[Warehouse], DataFrame]) -> Query:
     return lambda spark, folder: plan(open_warehouse(spark, folder))
 
@@ -50,6 +54,14 @@ QUERIES: dict[str, Query] = {
     "label_counts": _on_raw(quality.label_counts),
     "table_profile": _on_raw(profile),
     "table_fingerprint": _on_raw(fingerprint),
+    # the same over a table with faults
+    "cleaned_subscribers_faulty": _on_faulty(clean),
+    "cleaning_log_faulty": _on_faulty(cleaning_log),
+    "validation_report_faulty": _on_faulty(quality.validation_report),
+    "unexpected_values_faulty": _on_faulty(quality.unexpected_values),
+    "label_counts_faulty": _on_faulty(quality.label_counts),
+    "table_fingerprint_faulty": _on_faulty(fingerprint),
+    "deduplicated_features_faulty": _on_faulty(lambda raw: first_per_key(add_features(clean(raw)), [KEY])),
     # star schema
     **{name: _on_warehouse(lambda wh, name=name: wh.table(name)) for name in STAR},
     "subscriber_360": _on_warehouse(Warehouse.subscriber_360),
@@ -99,7 +111,9 @@ QUERIES: dict[str, Query] = {
     "vif": _on_warehouse(odds.vif),
     "km_curves": _on_warehouse(survival.km_curves),
     "km_summary": _on_warehouse(survival.km_summary),
-    # training (no oracle: iterative fits)
+    # training: what has one right answer, then the iterative fits
+    "training_split": _on_warehouse(lambda wh: training.model_rows(wh).select(KEY, "held_out", "fold", "label")),
+    "class_weights": _on_warehouse(training.class_weights),
     "trained_models": _on_warehouse(training.trained_runs),
     "train_and_score": _on_warehouse(training.train_and_score),
     "feature_importance": _on_warehouse(training.feature_importance),

@@ -78,6 +78,31 @@ def raw_subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(RAW_SQL, customer=customer, orders=orders)
 
 
+#: Faults by column: every so many customers one value goes wrong.
+FAULTS = {
+    "gender": "CASE WHEN k % 41 = 0 THEN 'Unknown' ELSE gender END",
+    "senior_citizen": "CASE WHEN k % 37 = 0 THEN NULL ELSE senior_citizen END",
+    "tenure_months": "CASE WHEN k % 43 = 0 THEN -1 WHEN k % 47 = 0 THEN 201 ELSE tenure_months END",
+    "contract": "CASE WHEN k % 53 = 0 THEN 'Weekly' ELSE contract END",
+    "monthly_charges": "CASE WHEN k % 59 = 0 THEN 0e0 WHEN k % 31 = 0 THEN NULL ELSE monthly_charges END",
+    "total_charges": "CASE WHEN k % 29 = 0 THEN ' ' WHEN k % 23 = 0 THEN 'abc' ELSE total_charges END",
+    "churn_label": "CASE WHEN k % 19 = 0 THEN NULL WHEN k % 61 = 0 THEN 'Maybe' ELSE churn_label END",
+}
+
+
+def faulty_sql(columns: list[str], source: str) -> str:
+    """Query over a raw table that injects the faults and repeats some customers."""
+    listed = ", ".join(f"{FAULTS[c]} AS {c}" if c in FAULTS else c for c in columns)
+    keyed = f"(SELECT *, CAST(substr(customer_id, 2) AS BIGINT) AS k FROM {source}) AS s"
+    return f"SELECT {listed} FROM {keyed} UNION ALL SELECT {listed} FROM {keyed} WHERE k % 17 = 0"
+
+
+def faulty_subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw table with faults, so that checks have something to find."""
+    raw = raw_subscribers(spark, sf_dir)
+    return spark.sql(faulty_sql(raw.columns, "{raw}"), raw=raw)
+
+
 def predictions(subscribers: DataFrame) -> DataFrame:
     """Scores of four runs per subscriber: deterministic, four decimals, related to the label, with ties.
 
