@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import bpe_trie, decontamination, html_blocks, licenses, quality_rules, rule_ensemble, simhash, suffix_dedup, token_store, url_lists
+from holdfast.llm import bpe_trie, decontamination, html_blocks, licenses, oracles, quality_rules, rule_ensemble, simhash, suffix_dedup, token_store, url_lists
 from holdfast.llm.common import table
 from holdfast.session import shared_dir
 
@@ -35,7 +35,7 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality_rules.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("llr")
 
 
 def op6_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,4 +73,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 
-ORACLE: dict[str, str] = {"op9_url_lists": url_lists.ORACLE}
+ORACLE: dict[str, str] = {
+    "op5_quality_rules": oracles.QUALITY_RULES,
+    "op9_url_lists": url_lists.ORACLE,
+    "op10_suffix_dedup": oracles.SUFFIX_DEDUP,
+}
