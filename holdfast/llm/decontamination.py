@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 SIZE = 5
 SIMILARITY = 0.8
 RADIUS = 20
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 2_000_000
 _WORD = re.compile(r"\w+")
 _ROUND = 20_000  # windows whose fingerprints are made at once
 
@@ -83,21 +83,21 @@ class MultiIndex:
         self.values, self.radius = np.array(values, np.uint64), radius
         blocks = radius // 3 + 1  # radius bits over so many blocks: one block has two at most
         edges = np.linspace(0, 64, blocks + 1).astype(int)
-        self.blocks = [(int(a), int(b - a)) for a, b in zip(edges, edges[1:])]
-        self.tables: list[dict[int, list[int]]] = []
-        for shift, width in self.blocks:  # the items are few, so their neighbours are stored and a query looks up once
-            table = defaultdict(list)
-            flips = [0, *(1 << i for i in range(width)), *((1 << i) | (1 << j) for i, j in combinations(range(width), 2))]
+        self.blocks = []
+        for shift, width in ((int(a), int(b - a)) for a, b in zip(edges, edges[1:])):
+            table: dict[int, list[int]] = defaultdict(list)
             for n, v in enumerate(values):
-                for flip in flips:
-                    table[((v >> shift) & ((1 << width) - 1)) ^ flip].append(n)
-            self.tables.append({k: np.array(v) for k, v in table.items()})
+                table[(v >> shift) & ((1 << width) - 1)].append(n)
+            flips = [0, *(1 << i for i in range(width)), *((1 << i) | (1 << j) for i, j in combinations(range(width), 2))]
+            self.blocks.append((shift, (1 << width) - 1, flips, dict(table)))
 
     def search(self, query: int) -> np.ndarray:
-        found = [t[k] for t, (s, w) in zip(self.tables, self.blocks) if (k := (query >> s) & ((1 << w) - 1)) in t]
-        if not found:
-            return np.empty(0, np.int64)
-        near = np.unique(np.concatenate(found))
+        found: list[int] = []
+        for shift, mask, flips, table in self.blocks:
+            part = (query >> shift) & mask
+            for flip in flips:
+                found += table.get(part ^ flip, ())
+        near = np.unique(np.array(found, np.int64))
         return near[np.bitwise_count(self.values[near] ^ np.uint64(query)) <= self.radius]
 
 
