@@ -1,13 +1,14 @@
 """Quality rules: base rules on words and lines, then a log-likelihood ratio of hashed n-grams.
 
 Method: the bytes n-grams (2, 3 and 4 bytes) of every text are hashed to ``BINS`` bins. Two multinomials are counted over
-the bins: the raw corpus (all rows) and the trusted target (all rows whose labels say quality 1). A document's score is
+the bins: the raw corpus (all rows) and the trusted target (rows whose labels say quality 1). A document's score is
 the mean, over its n-grams, of log P(target) - log P(raw); it is kept from ``THRESHOLD`` on. The rule is fixed, so equal
 texts always get equal verdicts. Bytes are used because words of a large corpus are mostly rare, and a rare word says
 nothing in a word model.
 
-All rows count, with partial sums per task; the model is ``BINS`` numbers whatever the corpus, which bounds what is
-gathered and broadcast.
+The raw corpus is all rows, counted with partial sums per task; the model is ``BINS`` numbers whatever the corpus. The target
+is fitted on at most ``TRUSTED`` labelled rows, chosen by the hash of their ids; this bounds the ids that are broadcast, so
+texts are never shuffled.
 
 Defined results: null text has no words and fails the base rules; so does an empty text, whose score is 0. Ids that occur
 several times in labels are trusted if all their labels agree on 1. Without trusted rows every score is 0. Rows repeat as
@@ -29,6 +30,7 @@ from holdfast.llm.common import as_bytes, windows_of_three, word_ids
 BINS = 1 << 16
 SIZES = (2, 3, 4)
 THRESHOLD = -0.4  # nats per n-gram
+TRUSTED = 100_000  # labelled rows at most from which the target is counted
 _BLOCK = 1 << 20
 _SYMBOLS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 _SPACE = np.isin(np.arange(256), np.frombuffer(b" \t\n\r\v\f", np.uint8))
@@ -49,33 +51,37 @@ def gram_bins(text: bytes) -> Iterator[np.ndarray]:
             yield h & np.uint32(BINS - 1)
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(bin, raw, target) of one task."""
-    raw, target = np.zeros(BINS, np.int64), np.zeros(BINS, np.int64)
-    for batch in batches:
-        for text, trusted in zip(as_bytes(batch.column(0)), batch.column(1).to_pylist()):
-            for bins in gram_bins(text):
-                counts = np.bincount(bins, minlength=BINS) if len(bins) > 5000 else None
-                for total in (raw, target) if trusted else (raw,):
-                    if counts is not None:
-                        total += counts
-                    else:
-                        np.add.at(total, bins, 1)
-    used = np.flatnonzero(raw)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(used, pa.int32()), pa.array(raw[used]), pa.array(target[used])], names=["bin", "raw", "target"]
-    )
+def trusted_ids(labels: DataFrame, most: int = TRUSTED) -> np.ndarray:
+    """Ids whose labels all say quality 1, sorted; of more than ``most``, those whose hashes are lowest."""
+    agreed = labels.groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("quality").alias("p")).where("q = 1 and p = 1 and doc_id is not null")
+    chosen = agreed.select(F.col("doc_id").cast("long").alias("id")).orderBy(F.xxhash64("id"), "id").limit(most)
+    return np.sort(np.array([r.id for r in chosen.collect()], np.int64))
 
 
-def trusted_ids(labels: DataFrame) -> DataFrame:
-    return labels.groupBy(F.col("doc_id").alias("id")).agg(F.min("quality").alias("q"), F.max("quality").alias("p")).where("q = 1 and p = 1").select("id", F.lit(True).alias("trusted"))
-
-
-def fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
+def fit(docs: DataFrame, labels: DataFrame, most: int = TRUSTED) -> np.ndarray:
     """Log ratio of target and raw probability per bin, with one count added to each bin."""
-    marked = docs.select(F.col("doc_id").alias("d"), F.col("text").cast("string").alias("text"))
-    marked = marked.join(trusted_ids(labels), F.col("d") == F.col("id"), "left").select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
-    counted = marked.mapInArrow(_count, "bin int, raw long, target long").groupBy("bin").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+    trusted = docs.sparkSession.sparkContext.broadcast(trusted_ids(labels, most))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        raw, target = np.zeros(BINS, np.int64), np.zeros(BINS, np.int64)
+        for batch in batches:
+            known = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+            known &= np.isin(batch.column(0).fill_null(0).to_numpy(), trusted.value)
+            for text, counts_twice in zip(as_bytes(batch.column(1)), known.tolist()):
+                for bins in gram_bins(text):
+                    counts = np.bincount(bins, minlength=BINS) if len(bins) > 5000 else None
+                    for total in (raw, target) if counts_twice else (raw,):
+                        if counts is not None:
+                            total += counts
+                        else:
+                            np.add.at(total, bins, 1)
+        used = np.flatnonzero(raw)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(used, pa.int32()), pa.array(raw[used]), pa.array(target[used])], names=["bin", "raw", "target"]
+        )
+
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    counted = texts.mapInArrow(count, "bin int, raw long, target long").groupBy("bin").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
     raw, target = np.zeros(BINS), np.zeros(BINS)
     for row in counted.collect():  # BINS rows at most
         raw[row.bin], target[row.bin] = row.raw, row.target
