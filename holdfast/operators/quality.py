@@ -231,20 +231,22 @@ def _violations(counts: DataFrame, name: str, lines: list[tuple[str, str, str]])
 def constraint_violations(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows violating each declared rule, per table.
 
-    Row rules of a table share one aggregate pass. Keys are counted per bucket, and orphans come from an
-    anti join on the bucket column, so neither moves rows of a stored table.
+    One pass per table: its rows are looked up in the parent's keys and grouped by their own key, both within the
+    buckets of a stored table, so neither moves rows; rule hits, copies and orphans are summed from the groups.
     """
     parts = []
-    parent = tables[PARENT].select("subscriber_id")
+    parent = tables[PARENT].groupBy("subscriber_id").agg(F.lit(True).alias("_known"))
     for name, df in tables.items():
-        rules = _row_rules(name, df.columns)
-        counts = df.agg(*[F.expr(f"count_if({broken}) AS r{i}") for i, (_, _, broken) in enumerate(rules)])
-        parts.append(_violations(counts, name, [(kind, c, f"r{i}") for i, (kind, c, _) in enumerate(rules)]))
-        key = PRIMARY_KEYS[name]
-        parts.append(_violations(duplicate_rows(df, key), name, [("primary_key", ",".join(key), "duplicates")]))
-    for name in CHILDREN:
-        orphans = tables[name].join(parent, "subscriber_id", "left_anti").agg(F.count("*").alias("n"))
-        parts.append(_violations(orphans, name, [("foreign_key", "subscriber_id", "n")]))
+        key, rules = PRIMARY_KEYS[name], _row_rules(name, df.columns)
+        lines = [(kind, c, f"r{i}") for i, (kind, c, _) in enumerate(rules)] + [("primary_key", ",".join(key), "copies")]
+        sums = [F.expr(f"count_if({broken}) AS r{i}") for i, (_, _, broken) in enumerate(rules)]
+        if name in CHILDREN:
+            df = df.join(parent, "subscriber_id", "left")
+            sums.append(F.count_if(F.col("_known").isNull()).alias("orphans"))
+            lines.append(("foreign_key", "subscriber_id", "orphans"))
+        per_key = df.groupBy(*key).agg(*sums, (F.count("*") - 1).alias("copies"))
+        counts = per_key.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for _, _, c in lines])
+        parts.append(_violations(counts, name, lines))
     return reduce(DataFrame.unionByName, parts)
 
 
