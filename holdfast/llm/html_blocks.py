@@ -51,13 +51,18 @@ _WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu sidebar footer header masthead"
     " topbar breadcrumb breadcrumbs cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription"
     " signup login search social share sharing related recommended recommendations comment comments commentlist disqus respond reply replies widget toolbar"
-    " pagination pager copyright legal".split()
+    " pagination pager copyright legal adbox adslot adsense adunit cookiebar cookiebanner sidenav topnav subnav navlinks sponsorship disclaimer".split()
 )
 _CONTENT = frozenset("content article main post entry story text body".split())
 
 
 def _attributes(text: str) -> dict[str, str]:
-    return {k.lower(): v.strip("\"'").lower() for k, v in _ATTRIBUTE.findall(text)}
+    return {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTE.findall(text)}
+
+
+def _parts(name: str) -> list[str]:
+    """Words of a class name or id, as in side-bar, side_bar, sideBar and sidebar2."""
+    return [w.lower() for w in re.findall(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+", name)] or [name]
 
 
 def _is_boilerplate(name: str, text: str, in_article: bool) -> bool:
@@ -68,19 +73,19 @@ def _is_boilerplate(name: str, text: str, in_article: bool) -> bool:
     if not text.strip():
         return False
     found = _attributes(text)
-    if "hidden" in found or found.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", found.get("style", "")):
+    if "hidden" in found or found.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", found.get("style", "").lower()):
         return name not in _NEVER
-    if found.get("role") in _ROLES:
+    if found.get("role", "").lower() in _ROLES:
         return True
     names = f"{found.get('class', '')} {found.get('id', '')}".split()
     if name == "article":
-        return any(n in ("comment", "reply") or n.startswith("comment-") for n in names)
+        return any(_parts(n)[0] in ("comment", "comments", "reply") for n in names)
     if in_article and name in ("h1", "h2", "header"):
         return False
-    parts = [re.split(r"[_-]+", n) for n in names]
+    parts = [_parts(n) for n in names]
     if any(set(p) & _CONTENT and not set(p) & _WORDS for p in parts):
         return False
-    return any((p[0] in _WORDS or p[-1] in _WORDS) and p[0] not in ("has", "with", "no") for p in parts)
+    return any({p[0], p[-1], "".join(p)} & _WORDS and p[0] not in ("has", "with", "no") for p in parts)
 
 
 def _end_of(tokens: list, at: int) -> int:

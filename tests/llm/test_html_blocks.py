@@ -35,7 +35,7 @@ CASES = {
         f"T\n{LONG.strip()}\na b\nEnd <b> & of it !",
     ),
     "sidebar and notice": (
-        page(f'<header><p>{LONG}</p></header><div class="sidebar"><p>{LONG}</p></div><div role="alert">{LONG}</div><div id="cookie-notice">{LONG}</div>'
+        page(f'<header><p>{LONG}</p></header><div class="sidebar"><p>{LONG}</p></div><div role="alert">{LONG}</div><div id="cookie-notice">{LONG}</div><div class="sideBar2">{LONG}</div><ul id=userComments><li>{LONG}</ul>'
              f'<div class="content with-sidebar"><p>{LONG}</p></div><p class="notice">{LONG}<p>{LONG}'),
         f"{LONG.strip()}\n{LONG.strip()}",
     ),
