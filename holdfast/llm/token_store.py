@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from holdfast.llm.common import as_bytes
 
 SEGMENT = 1 << 20  # tokens after which a segment is closed
-_CACHE = 500_000  # words whose ids a worker remembers
+_CACHE = 600_000  # words, and parts of words, whose ids a worker remembers
 _RANK = 512
 _TEXT = 4_000_000  # bytes of text encoded at once
 
@@ -91,7 +91,11 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[bytes, bytes] = {}
+        self.known: dict[bytes, bytes] = {}  # ids of words
+        self.stems: dict[bytes, bytes] = {b"": b""}  # ids of what the library has encoded
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
 
     @classmethod
     def of(cls, path: str) -> "WordEncoder":
@@ -101,8 +105,20 @@ class WordEncoder:
 
     def _library(self, words: list[bytes]) -> dict[bytes, bytes]:
         out = {}
-        for lo in range(0, len(words), 4096):
-            part = words[lo : lo + 4096]
+        letters, others = [], []
+        for word in words:
+            (letters if word.isalpha() or word.decode().isalpha() else others).append(word)
+        for lo in range(0, len(letters), 4096):  # a word of letters alone ends where a token says so
+            part = letters[lo : lo + 4096]
+            ids = np.array(self.tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(part):
+                others += part
+                continue
+            data, ends = ids.tobytes(), (ends * 4).tolist()
+            out.update(zip(part, (data[a:b] for a, b in zip([0, *ends], ends))))
+        for lo in range(0, len(others), 4096):
+            part = others[lo : lo + 4096]
             found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
             out.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, found))
         return out
@@ -110,10 +126,11 @@ class WordEncoder:
     @staticmethod
     def _stem(word: bytes) -> tuple[bytes, bytes]:
         """A word of ASCII letters in lower case, apart from one mark behind it; other words as they are."""
-        tail = word[-1:]
-        if tail in (b".", b",", b"!", b"?", b";", b":") and word[:-1].isalpha():
-            return word[:-1].lower(), tail
-        return (word.lower(), b"") if word.isalpha() else (word, b"")
+        if word.isalpha():
+            return word.lower(), b""
+        if word[-1:] in (b".", b",", b"!", b"?", b";", b":") and (word[:-1].isalpha() or word[:-1].decode().isalpha()):
+            return word[:-1].lower(), word[-1:]  # on bytes only ASCII letters change
+        return word, b""
 
     def encode(self, texts: list[list[bytes]]) -> list[np.ndarray]:
         """``texts`` as lists of words."""
@@ -123,9 +140,13 @@ class WordEncoder:
             known.clear()
             fresh = set().union(*texts)
         stems = {w: self._stem(w) for w in fresh}
-        ids = self._library(sorted({part for pair in stems.values() for part in pair if part}))
-        ids[b""] = b""
-        known.update((w, ids[a] + ids[b]) for w, (a, b) in stems.items())
+        parts = {part for pair in stems.values() for part in pair} - self.stems.keys()
+        if len(self.stems) + len(parts) > _CACHE:
+            self.stems = {b"": b""}
+            parts = {part for pair in stems.values() for part in pair} - self.stems.keys()
+        self.stems.update(self._library(list(parts)))
+        ids = self.stems
+        known.update((w, ids[a] + ids[b] if b else ids[a]) for w, (a, b) in stems.items())
         return [np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4") for words in texts]
 
 
