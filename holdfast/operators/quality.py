@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from holdfast.functions.rounding import half_even, ratio
 from holdfast.sources.schema import (
-    ALLOWED, CONTRACTS, HEADER_OF, INTERNET, PREDICTION_KEY, RAW_COLUMNS, STAR, YES_NO,
+    ALLOWED, CONTRACTS, CORRUPT, HEADER_OF, INTERNET, PREDICTION_KEY, RAW_COLUMNS, STAR, YES_NO,
 )
 
 REQUIRED = [raw for _, raw, _, _ in RAW_COLUMNS]
@@ -89,8 +89,10 @@ def validation_report(raw: DataFrame) -> DataFrame:
         line = (f"Required columns present (missing: {', '.join(missing)})", "FAIL_CRITICAL", None, float(len(missing)))
         return spark.createDataFrame([line], _REPORT)
 
+    listed = [c for c in raw.columns if c != CORRUPT]
     measures = {
         "n": "count(*)",
+        **({"malformed": f"count_if({CORRUPT} IS NOT NULL)"} if CORRUPT in raw.columns else {}),
         "tenure_ok": "coalesce(bool_and(coalesce(tenure_months >= 0, false)), true)",
         "tenure_bad": "count_if(tenure_months < 0)",
         "charge_ok": "coalesce(bool_and(coalesce(monthly_charges > 0, false)), true)",
@@ -100,7 +102,7 @@ def validation_report(raw: DataFrame) -> DataFrame:
         "tenure_zero": "count_if(tenure_months = 0)",
         "yes": "count_if(churn_label = 'Yes')",
         **{f"out_{c}": f"count_if({_outside(c)})" for c in ALLOWED},
-        **{f"null_{c}": f"count_if(`{c}` IS NULL)" for c in raw.columns},
+        **{f"null_{c}": f"count_if(`{c}` IS NULL)" for c in listed},
     }
     one = raw.agg(*[F.expr(f"{rule} AS `{name}`") for name, rule in measures.items()]).withColumn(
         "duplicates", duplicate_rows(raw, ["customer_id"]).scalar()
@@ -139,9 +141,11 @@ def validation_report(raw: DataFrame) -> DataFrame:
         ),
         *[
             _line("'Missingness report'", "'INFO'", _text(HEADER_OF.get(name, name.replace("_", " ").title())), f"`null_{name}`")
-            for name in raw.columns
+            for name in listed
         ],
     ]
+    if CORRUPT in raw.columns:
+        lines.append(_line("concat('Well-formed rows (malformed: ', malformed, ')')", _status("malformed = 0"), measured="malformed"))
     share = half_even(ratio(F.col("yes"), F.col("n")), 4)
     lines.append(_line("'Target distribution'", "'INFO'", "'churn_rate'", "share"))
     report = (

@@ -66,6 +66,8 @@ TENURE_BANDS = [(6, "0–6 mo"), (12, "7–12 mo"), (24, "13–24 mo"), (48, "25
 LAST_BAND = "73+ mo"
 OUT_OF_RANGE_BAND = "nan"
 
+CORRUPT = "corrupt_record"  # column of a CSV scan that holds the text of malformed rows
+
 # Columns of the five star tables (each also has subscriber_id first).
 STAR = {
     "dim_subscriber": [

@@ -6,32 +6,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from holdfast.sources.schema import RAW_COLUMNS
+from holdfast.sources.schema import CORRUPT, RAW_COLUMNS
 
 
-def read_raw_csv(spark: SparkSession, path: str, types: dict[str, str] | None = None) -> DataFrame:
+def read_raw_csv(
+    spark: SparkSession, path: str, types: dict[str, str] | None = None, keep_corrupt: bool = False
+) -> DataFrame:
     """Read raw CSV files (one file, a folder or a glob) whose headers carry spaces.
 
     The header of the first file gives the column order, so extra columns are kept as text; the 21 known
     columns get their declared type and snake_case name. ``types`` overrides a declared type by raw name,
-    for example ``{"senior_citizen": "int"}`` for sources that code it 0/1.
+    for example ``{"senior_citizen": "int"}`` for sources that code it 0/1. With ``keep_corrupt`` a row with
+    too many or too few fields has its text in ``corrupt_record``, which is NULL elsewhere; the validation report counts it.
     """
     types = types or {}
     known = {header: (raw, types.get(raw, kind)) for header, raw, _, kind in RAW_COLUMNS}
     headers = spark.read.option("header", True).csv(path).columns
-    schema = T.StructType([T.StructField(h, T.StringType()) for h in headers])
-    text = spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
+    schema = T.StructType([T.StructField(h, T.StringType()) for h in [*headers, CORRUPT]])
+    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+    text = reader.option("columnNameOfCorruptRecord", CORRUPT).csv(path)
     columns = []
     for header in headers:
         name, kind = known.get(header, (header.lower().replace(" ", "_"), "string"))
         column = F.col(f"`{header}`")
         columns.append((column if kind == "string" else column.try_cast(kind)).alias(name))
-    return text.select(*columns)
+    return text.select(*columns, *([CORRUPT] if keep_corrupt else []))
 
 
 def land(spark: SparkSession, source_glob: str, landing: str) -> DataFrame:
     """Land raw CSV files as Parquet once; a landing that already exists is kept as it is."""
-    read_raw_csv(spark, source_glob).write.mode("ignore").parquet(landing)
+    read_raw_csv(spark, source_glob, keep_corrupt=True).write.mode("ignore").parquet(landing)
     return spark.read.parquet(landing)
 
 

@@ -120,3 +120,20 @@ def test_upsert_replaces_and_adds(spark):
 
 def test_features_match_their_count(raw):
     assert len(add_features(clean(raw)).columns) == 30
+
+
+def test_malformed_csv_rows_are_counted(spark, raw, tmp_path):
+    from holdfast.operators.quality import validation_report
+    from holdfast.sources.schema import RAW_COLUMNS
+    from holdfast.sources.tables import land
+
+    rows = raw.limit(3).collect()
+    names = [name for _, name, _, _ in RAW_COLUMNS]
+    lines = [",".join(header for header, _, _, _ in RAW_COLUMNS)] + [",".join(str(r[n]) for n in names) for r in rows]
+    lines += [lines[1] + ",surplus", ",".join(lines[2].split(",")[:4])]
+    (tmp_path / "a.csv").write_text("\n".join(lines))
+    landed = land(spark, f"{tmp_path}/a.csv", f"{tmp_path}/landed")
+    assert landed.where("corrupt_record IS NOT NULL").count() == 2
+    report = {r["check"]: r for r in validation_report(landed).collect()}
+    assert report["Well-formed rows (malformed: 2)"].status == "FAIL_WARNING"
+    assert not any(r.item == "Corrupt Record" for r in report.values())
