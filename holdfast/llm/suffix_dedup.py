@@ -39,9 +39,9 @@ from pyspark.sql import types as T
 from holdfast.llm.common import as_bytes, stored
 
 WINDOW = 400
-GROUP = 20_000  # different surroundings of one sample that are sorted in one task
+GROUP = 10_000  # different surroundings of one sample that are sorted in one task
 _PIECE = 1 << 20  # window starts handled at once
-_BLOCK = 40_000  # surroundings in memory at once, besides the group that is being read
+_BLOCK = 10_000  # surroundings in memory at once, besides the group that is being read
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _UNDO = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
