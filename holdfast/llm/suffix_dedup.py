@@ -17,8 +17,10 @@ the order of the sample.
   This is repeated, each round from the last, until every window around the samples has been reached. A window is
   repeated if its suffix shares ``window`` bytes with a neighbour; suffixes without a neighbour that shares the
   bytes left of the sample drop out.
-* Samples with more than ``GROUP`` different surroundings are dealt to several tasks; windows that are alone in
-  their task are compared across tasks by a 128-bit hash, counted with partial sums.
+* Samples with more than ``GROUP`` different surroundings don't meet in one task. Their windows are settled in bands of
+  neighbouring starts by counts with partial sums: surroundings that agree on all bytes of a band's windows repeat in the
+  whole band, those that share not even the bytes which all its windows have in common don't repeat in it, and the rest
+  goes on with narrower bands, down to single windows. Bytes are compared by 128-bit hashes here.
 
 Defined results: null text is empty; an empty table gives an empty one. Rows that repeat in id and text are
 separate documents, so they are copies of each other. Other columns are ignored (``remove_repeats`` keeps them).
@@ -31,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -170,11 +173,14 @@ def _occurrences(window: int):
 
 # --- induction ---------------------------------------------------------------------------------------------------
 
-_TUPLE_DDL = "g long, sub int, many boolean, alone boolean, doc_id long, th long, pos int, left int, suffix binary, before binary"
-_OUT = pa.schema(
-    [("doc_id", pa.int64()), ("th", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("w1", pa.int64()), ("w2", pa.int64())]
+_TUPLE_DDL = "g long, alone boolean, doc_id long, th long, pos int, suffix binary, before binary, many boolean"
+_TUPLE = pa.schema(
+    [("g", pa.int64()), ("alone", pa.bool_()), ("doc_id", pa.int64()), ("th", pa.int64()), ("pos", pa.int32()), ("suffix", pa.binary()), ("before", pa.binary())]
 )
-_OUT_DDL = "doc_id long, th long, start int, end int, w1 long, w2 long"
+_SPAN = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
+#: Spans, and the tuples that are left to another step.
+_OUT = pa.schema([*_SPAN, *(f for f in _TUPLE if f.name not in _SPAN.names)])
+_OUT_DDL = "doc_id long, th long, start int, end int, g long, alone boolean, pos int, suffix binary, before binary"
 
 
 def _cut(window: int):
@@ -184,17 +190,16 @@ def _cut(window: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = as_bytes(batch.column(2))
-            out: list[list] = [[] for _ in range(10)]
+            out: list[list] = [[] for _ in range(8)]
             for doc, th, text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts, batch.column(3).to_pylist()):
                 for g in wanted:
                     p = g["pos"]
                     a = max(0, p - reach)
-                    for column, x in zip(out, (g["h"], g["sub"], g["many"], g["alone"], doc, th, p, p - a, text[p : p + window], text[a:p][::-1])):
+                    for column, x in zip(out, (g["h"], g["alone"], doc, th, p, text[p : p + window], text[a:p][::-1], g["many"])):
                         column.append(x)
             if out[0]:
-                kinds = [pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
-                names = [x.split()[0] for x in _TUPLE_DDL.split(", ")]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
+                kinds = [*_TUPLE.types, pa.bool_()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=[*_TUPLE.names, "many"])
 
     return cut
 
@@ -277,54 +282,38 @@ def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _induce(window: int):
-    """Tuples in queue order: spans to remove (w1, w2 null), and of samples dealt to several tasks also the windows that
-    have to be compared across tasks (with the window's hash)."""
+    """Tuples in queue order: spans to remove. Tuples of samples with very many surroundings pass through."""
 
     def block(cols: list[list]) -> pa.RecordBatch | None:
-        g, many, alone, doc, th, pos, suffix, before = cols
+        g, alone, doc, th, pos, suffix, before = cols
         rows, offsets = induced(np.array(g), suffix, before, window)
-        out: list[list] = [[] for _ in _OUT]
-
-        def give(i, start, end, hashed=0):
-            w = [hashed & (2**63 - 1), hashed >> 65] if hashed else [None, None]
-            for column, x in zip(out, [doc[i], th[i], start, end, *w]):
-                column.append(x)
-
         turn = np.lexsort((offsets, rows))
         by_row, by_offset = rows[turn], offsets[turn]
-        cuts = np.flatnonzero(np.concatenate([[True], by_row[1:] != by_row[:-1]])) if len(by_row) else []
-        for a, b in zip(cuts, np.append(cuts[1:], len(by_row)) if len(by_row) else []):
+        cuts = np.flatnonzero(np.diff(by_row, prepend=-1))
+        out: list[list] = [[] for _ in _SPAN]
+        for a, b in zip(cuts, np.append(cuts[1:], len(by_row))):
             i = int(by_row[a])
             if alone[i]:  # the bytes of surroundings that occur twice are removed already
                 for lo, hi in zip(*_runs(by_offset[a:b])):
-                    give(i, pos[i] - int(hi), pos[i] - int(lo) + window)
-        if any(many):
-            repeated = set(zip(rows.tolist(), offsets.tolist()))
-            told = set()
-            for i in np.flatnonzero(many):
-                text, reach = before[i][::-1] + suffix[i], len(before[i])
-                for o in range(min(reach, window - _gram(window)) + 1):
-                    part = text[reach - o : reach - o + window]
-                    if len(part) < window:
-                        continue
-                    # a window holds several samples: it is compared per sample and place of the sample in it
-                    digest = xxhash.xxh3_128_intdigest(part, (g[i] + o * 0x9E3779B9) % 2**64) or 1
-                    if (i, o) in repeated or not alone[i]:
-                        if digest not in told:  # one for the task, as a partner for others
-                            told.add(digest)
-                            give(i, -1, -1, digest)
-                    else:
-                        give(i, pos[i] - o, pos[i] - o + window, digest)
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _OUT)], schema=_OUT) if out[0] else None
+                    for column, x in zip(out, (doc[i], th[i], pos[i] - int(hi), pos[i] - int(lo) + window)):
+                        column.append(x)
+        return filled(dict(zip(_SPAN.names, out)), len(out[0])) if out[0] else None
+
+    def filled(columns: dict, n: int) -> pa.RecordBatch:
+        arrays = [columns[f.name] if f.name in columns else pa.nulls(n, f.type) for f in _OUT]
+        return pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, f.type) for x, f in zip(arrays, _OUT)], schema=_OUT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list] = [[] for _ in range(8)]
+        held: list[list] = [[] for _ in range(7)]
         last = None
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("g", "many", "alone", "doc_id", "th", "pos", "suffix", "before")]
-            keys = list(zip(columns[0], batch.column("sub").to_pylist()))
+            passing = batch.filter(batch.column("many"))
+            if passing.num_rows:
+                yield filled({n: passing.column(n) for n in _TUPLE.names}, passing.num_rows)
+                batch = batch.filter(pc.invert(batch.column("many")))
+            columns = [batch.column(n).to_pylist() for n in _TUPLE.names]
             at = 0
-            for k, key in enumerate(keys):
+            for k, key in enumerate(columns[0]):
                 if key != last:
                     for mine, new in zip(held, columns):
                         mine.extend(new[at:k])
@@ -332,7 +321,7 @@ def _induce(window: int):
                     if len(held[0]) >= _BLOCK:
                         if (out := block(held)) is not None:
                             yield out
-                        held = [[] for _ in range(8)]
+                        held = [[] for _ in range(7)]
                     last = key
             for mine, new in zip(held, columns):
                 mine.extend(new[at:])
@@ -342,6 +331,67 @@ def _induce(window: int):
     return run
 
 
+# --- samples with very many surroundings -------------------------------------------------------------------------
+
+_BAND = pa.schema(
+    [("doc_id", pa.int64()), ("th", pa.int64()), ("pos", pa.int32()), ("lo", pa.int32()), ("hi", pa.int32()), ("outer", pa.binary()), ("inner", pa.binary())]
+)
+_BAND_DDL = "doc_id long, th long, pos int, lo int, hi int, outer binary, inner binary"
+
+
+def _band_keys(window: int, width: int):
+    """Tuples with their ``bands`` (lo): per band of window starts lo..lo + width - 1 bytes left of the sample the hash of all bytes that
+    its windows have (``outer``) and of the bytes that each of them has (``inner``)."""
+    reach = window - _gram(window)
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list] = [[] for _ in _BAND]
+            for g, _, doc, th, pos, suffix, before, bands in zip(*(c.to_pylist() for c in batch.columns)):
+                for lo in bands:
+                    hi = min(lo + width, reach + 1)
+                    if len(before) < lo or len(suffix) < window - hi + 1:
+                        continue  # no window of the band is in the text
+                    seed = (g * 1_000_003 + lo * 4099 + hi) % 2**64
+                    inner = xxhash.xxh3_128_digest(before[:lo][::-1] + suffix[: window - hi + 1], seed)
+                    if len(before) >= hi - 1 and len(suffix) >= window - lo:
+                        outer = xxhash.xxh3_128_digest(before[: hi - 1][::-1] + suffix[: window - lo], seed)
+                    else:  # cut off by the text's ends, so like no other
+                        outer = xxhash.xxh3_128_digest(f"{doc} {th} {pos} {lo} {hi}".encode(), 1)
+                    for column, x in zip(out, (doc, th, pos, lo, hi, outer, inner)):
+                        column.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _BAND)], schema=_BAND)
+
+    return keys
+
+
+def _spans_by_bands(tuples: DataFrame, window: int) -> DataFrame:
+    """Spans of repeated windows around samples with any number of surroundings (``tuples`` as the queue has them)."""
+    reach = window - _gram(window)
+    widths = [1]
+    while widths[-1] * 8 <= reach:
+        widths.append(widths[-1] * 8)
+    spans = None
+    bands = tuples.withColumn("bands", F.array(*[F.lit(lo) for lo in range(0, reach + 1, widths[-1])]))
+    for width in reversed(widths):
+        keyed = stored(bands.mapInArrow(_band_keys(window, width), _BAND_DDL), "bands")
+        classes = stored(
+            keyed.groupBy("outer", "inner", "lo").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "th", "pos")).alias("rep")), "classes"
+        )
+        repeated = keyed.join(classes.where("n > 1").select("outer"), "outer", "left_semi")
+        found = repeated.select("doc_id", "th", (F.col("pos") - F.col("hi") + 1).alias("start"), (F.col("pos") - F.col("lo") + window).alias("end"))
+        spans = found if spans is None else spans.unionByName(found)
+        if width > 1:
+            shared = classes.groupBy("inner").agg(F.count("*").alias("m")).where("m > 1").select("inner")
+            children = F.sequence(F.col("lo"), F.least(F.col("lo") + width - 1, F.lit(reach)), F.lit(width // 8))
+            waiting = classes.join(shared, "inner", "left_semi").select("rep.*", F.explode(children).alias("lo"))
+            waiting = waiting.groupBy("doc_id", "th", "pos").agg(F.collect_list("lo").alias("bands"))
+            t, w = tuples.alias("t"), waiting.alias("w")
+            same = F.col("t.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("t.th") == F.col("w.th")) & (F.col("t.pos") == F.col("w.pos"))
+            bands = t.join(w, same).select("t.*", "w.bands")
+    return spans
+
+
 def repeated_spans(docs: DataFrame, window: int = WINDOW, group: int = GROUP) -> DataFrame:
     """(doc_id, th, spans) for the texts of ``docs`` (doc_id, th, text) with repeated strings; ``th`` hashes the text, so that
     the two name a text even if ids repeat. Spans are [start, end) in bytes and may overlap."""
@@ -353,32 +403,24 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, group: int = GROUP) ->
         .where(F.col("left") + F.col("right") >= window)
         .select("doc_id", "th", (F.col("pos") - F.col("left")).alias("start"), (F.col("pos") + F.col("right")).alias("end"))
     )
-    several = kinds.where("m > 1")
-    parts = F.ceil(F.col("m") / group).cast("int")
     wanted = stored(
-        texts.join(several, "h").select(
-            "h",
-            F.pmod("ctx", parts).cast("int").alias("sub"),
-            (F.col("m") > group).alias("many"),
-            (F.col("n") == 1).alias("alone"),
-            "rep.doc_id",
-            "rep.th",
-            "rep.pos",
+        texts.join(kinds.where("m > 1"), "h").select(
+            "h", (F.col("m") > group).alias("many"), (F.col("n") == 1).alias("alone"), "rep.doc_id", "rep.th", "rep.pos"
         ),
         "surroundings",
     )
-    per_doc = wanted.groupBy("doc_id", "th").agg(F.collect_list(F.struct("h", "sub", "many", "alone", "pos")).alias("wanted"))
-    joined = docs.alias("d").join(per_doc.alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.th") == F.col("w.th")))
-    tuples = joined.select("d.doc_id", "d.th", "d.text", "w.wanted").mapInArrow(_cut(window), _TUPLE_DDL)
-    queue = tuples.repartition("g", "sub").sortWithinPartitions("g", "sub", "suffix", "pos")
+
+    per_doc = wanted.groupBy("doc_id", "th").agg(F.collect_list(F.struct("h", "alone", "pos", "many")).alias("wanted"))
+    same = F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.th") == F.col("w.th"))
+    tuples = docs.alias("d").join(per_doc.alias("w"), same).select("d.doc_id", "d.th", "d.text", "w.wanted").mapInArrow(_cut(window), _TUPLE_DDL)
+    # tuples that only pass through are spread evenly
+    salt = F.when(F.col("many"), F.pmod(F.xxhash64("doc_id", "th", "pos"), F.lit(4096)) + 1).otherwise(0)
+    queue = tuples.withColumn("salt", salt).repartition("g", "salt").sortWithinPartitions("g", "salt", "suffix", "pos").drop("salt")
     found = stored(queue.mapInArrow(_induce(window), _OUT_DDL), "induced")
-    spans = spans.unionByName(found.where("w1 IS NULL").select("doc_id", "th", "start", "end"))
+    spans = spans.unionByName(found.where("suffix IS NULL").select("doc_id", "th", "start", "end"))
     if not wanted.where("many").isEmpty():
-        across = found.where("w1 IS NOT NULL")
-        twice = across.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1").select("w1", "w2")
-        spans = spans.unionByName(
-            across.where("start >= 0").join(twice, ["w1", "w2"], "left_semi").select("doc_id", "th", "start", "end")
-        )
+        many = found.where("suffix IS NOT NULL").select(*_TUPLE.names)
+        spans = spans.unionByName(_spans_by_bands(many, window))
     return spans.distinct().groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
@@ -397,14 +439,13 @@ def kept_parts(text: bytes, spans: list | None) -> tuple[list[bytes], int, int]:
 
 
 def _with_spans(docs: DataFrame, window: int, group: int) -> DataFrame:
-    """``row`` (all columns), text and the spans to remove, per row of ``docs``."""
-    named = docs.select(
-        F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")
-    ).withColumn("th", F.xxhash64("text"))
-    spans = repeated_spans(named, window, group)
-    return named.alias("d").join(
-        spans.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.th") == F.col("s.th")), "left"
-    ).select("d.row", "d.doc_id", "d.text", "s.spans")
+    """``row`` (all columns) and the spans to remove, per row of ``docs``."""
+    text = F.coalesce(F.col("row.text"), F.lit(""))
+    rows = docs.select(F.struct("*").alias("row"))
+    named = rows.select("row", F.col("row.doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"))
+    spans = repeated_spans(named.select("doc_id", "th", text.alias("text")), window, group)
+    same = F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.th") == F.col("s.th"))
+    return named.alias("d").join(spans.alias("s"), same, "left").select("d.row", "s.spans")
 
 
 _DIGEST = pa.schema(
@@ -431,7 +472,7 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def removal_report(docs: DataFrame, window: int = WINDOW, group: int = GROUP) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) per row of ``docs``."""
     found = _with_spans(docs.select("doc_id", F.col("text").cast("string").alias("text")), window, group)
-    return found.select("doc_id", "text", "spans").mapInArrow(
+    return found.select(F.col("row.doc_id").cast("long").alias("doc_id"), "row.text", "spans").mapInArrow(
         _digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
 
@@ -447,7 +488,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, group: int = GROUP) ->
     """All rows and columns of ``docs``; texts with repeats are cut (characters cut in half go), other texts stay as they
     are (null too). Where there is a column n_chars it counts the characters that are left."""
     found = _with_spans(docs, window, group)
-    cut = F.when(F.col("spans").isNull(), F.col("row.text")).otherwise(_kept_text("text", "spans"))
+    cut = F.when(F.col("spans").isNull(), F.col("row.text")).otherwise(_kept_text(F.col("row.text"), F.col("spans")))
     ready = found.select("row", cut.alias("cut"), F.col("spans").isNotNull().alias("changed"))
     columns = []
     for name, kind in docs.dtypes:
