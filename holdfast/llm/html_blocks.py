@@ -103,17 +103,30 @@ def _end_of(tokens: list, at: int) -> int:
 
 
 class _Line:
-    __slots__ = ("text", "linked", "inside")
+    __slots__ = ("text", "linked", "inside", "soft")
 
-    def __init__(self, text: str, linked: int, inside: bool):
-        self.text, self.linked, self.inside = text, linked, inside
+    def __init__(self, text: str, linked: int, inside: bool, soft: bool = False):
+        self.text, self.linked, self.inside, self.soft = text, linked, inside, soft
+
+    @property
+    def unlinked(self) -> int:
+        return max(0, len(self.text.replace(" ", "")) - self.linked)
 
 
 def lines_of(page: str) -> tuple[list[_Line], bool]:
-    """Lines in page order (empty ones at borders), and whether some are inside a marked article or main part."""
+    """Lines in page order (empty ones at borders), and whether the article or main elements that are not dropped hold most of
+    the unlinked text, so that they mark the main part."""
     tokens = list(_TOKEN.finditer(page))
     marks = {(t["name"] or "").lower() for t in tokens if t["name"] and not t["end"]}
-    mark = next((m for m in ("article", "main") if m in marks), None)
+    for mark in ("article", "main"):
+        if mark in marks:
+            lines = _lines(page, tokens, mark)
+            if 2 * sum(x.unlinked for x in lines if x.inside) > sum(x.unlinked for x in lines):
+                return lines, True
+    return _lines(page, tokens, None), False
+
+
+def _lines(page: str, tokens: list, mark: str | None) -> list[_Line]:
     lines: list[_Line] = []
     parts: list[str] = []
     links: list[str] = []
@@ -126,14 +139,14 @@ def lines_of(page: str) -> tuple[list[_Line], bool]:
             if in_link:
                 links.append(piece)
 
-    def close(border: bool) -> None:
+    def close(border: bool, soft: bool = False) -> None:
         text = " ".join("".join(parts).split())
         if text:
             lines.append(_Line(text, len("".join("".join(links).split())), depth > 0))
         parts.clear()
         links.clear()
         if border and not depth:
-            lines.extend(_Line("", 0, False) for _ in range(WINDOW))
+            lines.extend(_Line("", 0, False, soft) for _ in range(WINDOW))
 
     while k < len(tokens):
         token = tokens[k]
@@ -158,7 +171,7 @@ def lines_of(page: str) -> tuple[list[_Line], bool]:
         elif name == "br":
             parts.append(" ")
         if name in _BLOCKS:
-            close(name in _CONTAINERS)
+            close(name in _CONTAINERS, True)
             if name == mark:
                 depth = max(0, depth - 1) if ends else depth + 1
             if name in ("article", "main"):
@@ -166,7 +179,17 @@ def lines_of(page: str) -> tuple[list[_Line], bool]:
         k += 1
     take(len(page))
     close(True)
-    return lines, mark is not None
+    return lines
+
+
+def _soft(lines: list[_Line], weights: list[int], start: int, first: int) -> bool:
+    """Whether only soft borders lie between line ``first`` and the last line with weight from ``start`` on before it."""
+    k = first - 1
+    while k > start and not weights[k]:
+        if lines[k].text or not lines[k].soft:
+            return False
+        k -= 1
+    return True
 
 
 def main_text(page: str | None) -> str:
@@ -176,25 +199,33 @@ def main_text(page: str | None) -> str:
     if marked:
         weights = [len(x.text) if x.inside else 0 for x in lines]
     else:
-        weights = [max(0, len(x.text.replace(" ", "")) - x.linked) for x in lines]
+        weights = [x.unlinked for x in lines]
     sums, total = [], 0
     for k in range(len(weights) + WINDOW - 1):  # sums[k]: the window that ends at line k
         total += weights[k] if k < len(weights) else 0
         total -= weights[k - WINDOW] if k >= WINDOW else 0
         sums.append(total)
     threshold = min(SURGE, SHARE * max(sums, default=0))
-    kept, start, surged = [], None, False
-    for k, size in enumerate(sums):
+    blocks, start, surged = [], None, False  # (first line, line after the last, whether it surged)
+    for k, size in enumerate([*sums, 0]):
         if size == 0:  # a dive
-            if surged:
-                kept.extend(lines[start:k])
+            if start is not None:
+                blocks.append((start, min(k, len(lines)), surged))
             start, surged = None, False
             continue
         if start is None:
             start = k
         surged |= size >= threshold
-    if surged:
-        kept.extend(lines[start : len(lines)])
+    kept, waiting, joined = [], [], False
+    for n, (first, end, surged) in enumerate(blocks):
+        if n and not _soft(lines, weights, blocks[n - 1][0], first):
+            waiting, joined = [], False
+        if surged:
+            kept.extend(waiting)
+            kept.extend(lines[first:end])
+            waiting, joined = [], True
+        elif joined:  # stays if a surge follows and only borders of lists, tables or inner containers lie between
+            waiting.extend(lines[first:end])
     if marked:
         kept = [x for x in kept if x.inside]
     return "\n".join(x.text for x in kept if x.text)
