@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import bpe_trie, decontamination, html_blocks, licenses, oracles, quality_rules, rule_ensemble, simhash, suffix_dedup, token_store, url_lists
+from holdfast.llm import bpe_trie, decontamination, html_blocks, licenses, oracles, order_minhash, quality_rules, rule_ensemble, simhash, suffix_dedup, token_store, url_lists
 from holdfast.llm.common import table
 from holdfast.session import shared_dir
 
@@ -60,6 +60,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removal_report(table(spark, sf_dir, "documents"))
 
 
+def op11_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.edit_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
     "op2_html_blocks": op2_html_blocks,
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_trie": op8_bpe_trie,
     "op9_url_lists": op9_url_lists,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_order_minhash": op11_order_minhash,
 }
 
 ORACLE: dict[str, str] = {
