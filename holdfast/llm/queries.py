@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import bpe_trie, decontamination, html_blocks, licenses, merkle, oracles, order_minhash, quality_rules, rule_ensemble, simhash, suffix_dedup, token_store, url_lists
+from holdfast.llm import bpe_trie, decontamination, html_blocks, licenses, merkle, oracles, order_minhash, prefix_trie, quality_rules, rule_ensemble, simhash, suffix_dedup, token_store, url_lists
 from holdfast.llm.common import table
 from holdfast.session import shared_dir
 
@@ -64,6 +64,10 @@ def op11_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.edit_report(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(prefix_trie.rebuilt(prefix_trie.turns_of(table(spark, sf_dir, "conversations"))))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(table(spark, sf_dir, "documents"))
 
@@ -80,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_lists": op9_url_lists,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_order_minhash": op11_order_minhash,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
