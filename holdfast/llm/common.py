@@ -24,6 +24,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession, megabytes: int = 4) -> None:
+    """From now on Arrow batches of the session hold at most so many MB: 10,000 whole texts, the other bound, may be any size."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.set(name, f"{megabytes}m")
+
+
 def as_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a text column; null counts as the empty text."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]

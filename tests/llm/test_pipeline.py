@@ -3,15 +3,15 @@ import hashlib
 import numpy as np
 import public_tokenizers
 import pytest
-import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from holdfast.llm.common import table
 from tests.llm.test_decontamination import brute as leaks_of
+from tests.llm.test_near_copies import brute_kept as kept_of
+from tests.llm.test_passages import brute as cut
 from tests.llm.test_quality_rules import brute as measures_of
-from tests.llm.test_simhash import brute_groups, brute_print
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -50,26 +50,14 @@ def test_quality(stages, spark):
 
 
 def test_near_duplicates(stages):
-    prints = [brute_print(r.text) for r in stages[1]]
-    label = brute_groups(prints)
-    least = {}
-    for r, x in zip(stages[1], label):
-        least[x] = min(least.get(x, r.doc_id), r.doc_id)
-    assert sorted(r.doc_id for r in stages[2]) == sorted(least.values())
+    """One document stays of each chain of pairs that share four fifths of their five-word shingles."""
+    assert sorted(r.doc_id for r in stages[2]) == kept_of([(r.doc_id, r.text) for r in stages[1]])
 
 
 def test_repeated_passages(stages):
-    starts, data = {}, [r.text.encode() for r in stages[2]]
-    for n, t in enumerate(data):
-        for i in range(len(t) - 399):
-            starts.setdefault(xxhash.xxh3_64_intdigest(t[i : i + 400]), []).append((n, i))
-    gone = [bytearray(len(t)) for t in data]
-    for places in starts.values():
-        if len(places) > 1:
-            for n, i in places:
-                gone[n][i : i + 400] = b"\1" * 400
-    want = {r.doc_id: bytes(c for c, g in zip(t, x) if not g).decode("utf-8", "ignore") for r, t, x in zip(stages[2], data, gone)}
-    assert {r.doc_id: r.text for r in stages[3]} == want
+    """Repeated runs of 51 words and repeated strings of 400 bytes go, whole characters at a time."""
+    want = cut(r.text for r in stages[2])
+    assert {r.doc_id: r.text for r in stages[3]} == {r.doc_id: t for r, t in zip(stages[2], want)}
     assert all(r.n_chars == len(r.text) for r in stages[3])
 
 
