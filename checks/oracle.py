@@ -576,6 +576,39 @@ ORACLE["vif"] = on(
       FROM swept WHERE k < 15""",
 ).replace("WITH ", "WITH RECURSIVE ", 1)
 
+# Logistic fit: Newton steps over counted rows; each inverts the information matrix by sweeping its pivots in turn.
+_STEPS, _WIDTH = 10, len(DESIGN) + 1
+_sweep = f"""list_reduce(list_concat([m], list_transform(range(1, {_WIDTH + 1}), lambda k: [[k::DOUBLE]])), lambda a, e:
+  list_transform(range(1, {_WIDTH + 1}), lambda i: list_transform(range(1, {_WIDTH + 1}), lambda j:
+    CASE WHEN i = e[1][1] AND j = e[1][1] THEN 1 / a[i][j]
+         WHEN i = e[1][1] THEN a[i][j] / a[i][i]
+         WHEN j = e[1][1] THEN -a[i][j] / a[j][j]
+         ELSE a[i][j] - a[i][e[1][1]::INT] * a[e[1][1]::INT][j] / a[e[1][1]::INT][e[1][1]::INT] END)))"""
+_newton = {
+    "cells": "SELECT x, count(*) AS n, sum(y) AS y FROM (SELECT [1e0, " + ", ".join(_PY.values()) + "] AS x, churned_flag AS y FROM features) GROUP BY x",
+    "b0": f"SELECT list_transform(range({_WIDTH}), lambda i: 0e0) AS b",
+}
+for _t in range(_STEPS):
+    _newton |= {
+        f"p{_t}": f"SELECT x, n, y, 1 / (1 + exp(-list_dot_product(x, b))) AS p FROM cells, b{_t}",
+        f"g{_t}": f"""SELECT i, list(s ORDER BY j) AS r FROM (SELECT i, j, sum(n * p * (1 - p) * x[i] * x[j]) AS s
+          FROM p{_t}, (SELECT unnest(range(1, {_WIDTH + 1})) AS i), (SELECT unnest(range(1, {_WIDTH + 1})) AS j) GROUP BY i, j) GROUP BY i""",
+        f"u{_t}": f"SELECT list(s ORDER BY i) AS u FROM (SELECT i, sum((y - n * p) * x[i]) AS s FROM p{_t}, (SELECT unnest(range(1, {_WIDTH + 1})) AS i) GROUP BY i)",
+        f"v{_t}": f"SELECT {_sweep} AS v FROM (SELECT list(r ORDER BY i) AS m FROM g{_t})",
+        f"b{_t + 1}": f"SELECT list_transform(range(1, {_WIDTH + 1}), lambda i: b[i] + list_dot_product(v[i], u)) AS b FROM b{_t}, v{_t}, u{_t}",
+    }
+ORACLE["odds_ratios"] = on(
+    "features",
+    f"""SELECT *, p_value < 5e-2 AS significant, 'A one-unit increase in ' || replace(feature, '_', ' ') || ' is associated with an odds ratio of '
+      || printf('%.2f (95%% CI: %.2f–%.2f), ', odds_ratio, or_ci_lo, or_ci_hi) || CASE WHEN p_value < 5e-2 THEN 'significant' ELSE 'not significant' END
+      || printf(' at p = %.3f. Correlation only — no causal claim is made.', p_value) AS plain_english
+      FROM (SELECT feature, {even('c', 4)} AS log_odds, {even('exp(c)', 4)} AS odds_ratio, {even('exp(c - 1.959963984540054e0 * se)', 4)} AS or_ci_lo,
+        {even('exp(c + 1.959963984540054e0 * se)', 4)} AS or_ci_hi, {even('p', 6)} AS p_value
+        FROM (SELECT *, {upper_gamma('5e-1', 'f.c * f.c / f.se / f.se / 2')} AS p FROM fitted f))""",
+    **_newton,
+    fitted=f"SELECT {_names}[i] AS feature, b[i + 1] AS c, sqrt(v[i + 1][i + 1]) AS se FROM b{_STEPS}, v{_STEPS - 1}, (SELECT unnest(range(1, {_WIDTH})) AS i)",
+)
+
 _LIFE = {
     "life": """SELECT contract_type, t, events, sum(ended) OVER (PARTITION BY contract_type ORDER BY t DESC) AS n FROM (
       SELECT contract_type, tenure_months::DOUBLE AS t, sum(churned_flag) AS events, count(*) AS ended FROM features GROUP BY ALL

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GeneralizedLinearRegression
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 from holdfast.functions.rounding import half_away, half_even
+from holdfast.functions.tails import normal_p
 from holdfast.functions.text import fixed
 from holdfast.plans.warehouse import Warehouse
 from holdfast.sources.schema import STAR
@@ -44,23 +46,83 @@ def design(wh: Warehouse) -> DataFrame:
     return rows.select(*columns, F.col("churned_flag").cast("double").alias("label")).dropna()
 
 
+def design_cells(wh: Warehouse) -> DataFrame:
+    """Rows of the design that are equal, with their number and positives: all that a fit needs. Cells follow the domains of the columns,
+    not the rows."""
+    return design(wh).groupBy(*DESIGN).agg(F.count("*").alias("n"), F.sum("label").alias("y"))
+
+
+def _partial_sums(beta: np.ndarray):
+    """Sums of one task's cells, numbered: upper triangle of the information matrix, score vector, log likelihood."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = len(beta)
+        information, score, likelihood = np.zeros((size, size)), np.zeros(size), 0.0
+        for batch in batches:
+            n, y, *columns = (c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns)
+            x = np.column_stack([np.ones(len(n)), *columns])
+            eta = x @ beta
+            p = 1 / (1 + np.exp(-eta))
+            information += x.T @ (x * (n * p * (1 - p))[:, None])
+            score += x.T @ (y - n * p)
+            likelihood += float(y @ eta - n @ np.logaddexp(0, eta))
+        sums = np.concatenate([information[np.triu_indices(size)], score, [likelihood]])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(sums)), pa.int32()), pa.array(sums)], names=["k", "s"])
+
+    return run
+
+
+def newton_sums(cells: DataFrame, beta: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """Information matrix, score vector and log likelihood at ``beta`` (the intercept first): one pass over the cells, whose tasks
+    send one row for each of the sums."""
+    size = len(beta)
+    parts = cells.select("n", "y", *DESIGN).mapInArrow(_partial_sums(beta), "k int, s double")
+    row = np.array([r.s for r in parts.groupBy("k").agg(F.sum("s").alias("s")).orderBy("k").collect()])
+    information = np.zeros((size, size))
+    information[np.triu_indices(size)] = row[: -size - 1]
+    information += np.triu(information, 1).T
+    return information, row[-size - 1 : -1], float(row[-1])
+
+
+def newton_fit(cells: DataFrame, steps: int = 50, tolerance: float = 1e-6) -> tuple[np.ndarray, np.ndarray]:
+    """Coefficients and standard errors of the unpenalised logistic fit, the intercept first.
+
+    Newton's method from zero: a step is halved while it lowers the likelihood. What is left to go after a step of size d is of the
+    order of d squared, so the last one need not be below the root of the wanted accuracy. A design whose columns depend on each other, or
+    whose fit does not settle (classes that a plane separates), is an error.
+    """
+    beta = np.zeros(len(DESIGN) + 1)
+    information, score, likelihood = newton_sums(cells, beta)
+    if not information.any():
+        raise ValueError("the design has no complete rows")
+    for _ in range(steps):
+        if np.linalg.matrix_rank(information, hermitian=True) < len(beta):
+            raise ValueError("columns of the design depend on each other, or the classes are separated")
+        step = np.linalg.solve(information, score)
+        while True:
+            found = newton_sums(cells, beta + step)
+            if found[2] >= likelihood - 1e-9 * abs(likelihood) or np.abs(step).max() < tolerance:
+                break
+            step /= 2
+        beta = beta + step
+        information, score, likelihood = found
+        if np.abs(step).max() < tolerance:
+            return beta, np.sqrt(np.diag(np.linalg.inv(information)))
+    raise ValueError(f"the fit did not settle in {steps} steps")
+
+
 def odds_ratios(wh: Warehouse) -> DataFrame:
     """Coefficients of the unpenalised logistic fit, one row per design column.
 
-    The fit is iterated least squares: each pass sums a 16 x 16 system over the partitions. Only its
-    solution reaches the driver.
+    Equal rows are counted once; each Newton step then sums a 16 x 16 system over the counted cells, and only that reaches the driver.
     """
-    data = VectorAssembler(inputCols=list(DESIGN), outputCol="features").transform(design(wh))
-    data = data.select("features", "label").persist()
+    cells = design_cells(wh).persist()
     try:
-        fit = GeneralizedLinearRegression(family="binomial", link="logit", maxIter=100, tol=1e-10).fit(data)
-        errors, tails = fit.summary.coefficientStandardErrors, fit.summary.pValues
+        beta, errors = newton_fit(cells)
     finally:
-        data.unpersist()
-    rows = [
-        (i, name, float(fit.coefficients[i]), float(errors[i]), float(tails[i])) for i, name in enumerate(DESIGN)
-    ]
-    fitted = wh.spark.createDataFrame(rows, "position int, feature string, b double, se double, p double")
+        cells.unpersist()
+    rows = [(i, name, float(beta[i]), float(errors[i])) for i, name in enumerate(DESIGN, start=1)]
+    fitted = wh.spark.createDataFrame(rows, "position int, feature string, b double, se double").withColumn("p", normal_p(F.abs(F.col("b") / F.col("se"))))
     b, reach = F.col("b"), F.lit(Z95) * F.col("se")
     report = fitted.orderBy("position").select(
         "feature",

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from holdfast.plans import odds
 from holdfast.plans.warehouse import open_warehouse
@@ -28,3 +29,26 @@ def test_odds_ratios_equal_newton(spark):
         assert got[name].or_ci_lo == pytest.approx(np.exp(beta[i] - 1.959964 * errors[i]), abs=1e-4)
         assert got[name].or_ci_hi == pytest.approx(np.exp(beta[i] + 1.959964 * errors[i]), abs=1e-4)
         assert got[name].significant == (got[name].p_value < 0.05)
+
+
+def test_equal_rows_are_counted_once_and_odd_designs_are_errors(spark):
+    names = list(odds.DESIGN)
+    draw = np.random.default_rng(3)
+    x = draw.integers(0, 2, (400, len(names))).astype(float)
+    y = (draw.random(400) < 1 / (1 + np.exp(-(x[:, 0] - x[:, 1])))).astype(float)
+    rows = [(*map(float, r), float(v)) for r, v in zip(x, y)]
+    schema = ", ".join(f"{n} double" for n in names) + ", label double"
+
+    def cells(rows):
+        return spark.createDataFrame(rows, schema).groupBy(*names).agg(F.count("*").alias("n"), F.sum("label").alias("y"))
+
+    beta, errors = odds.newton_fit(cells(rows))
+    many, few = odds.newton_fit(cells(rows * 4))
+    assert np.allclose(beta, many, atol=1e-9) and np.allclose(errors, 2 * few, atol=1e-9)
+    _, score, _ = odds.newton_sums(cells(rows), beta)
+    assert np.abs(score).max() < 1e-6
+    same = [(*r[:1], r[0], *r[2:]) for r in rows]
+    apart = [(*r[:-1], r[0]) for r in rows]
+    for bad in (same, apart, []):
+        with pytest.raises(ValueError):
+            odds.newton_fit(cells(bad))
