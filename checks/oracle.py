@@ -6,6 +6,8 @@ nothing with the Spark plans but the input definition and column names.
 
 from __future__ import annotations
 
+from math import exp
+
 from holdfast.plans.contingency import FEATURES
 from holdfast.plans.odds import DESIGN
 from holdfast.sources.fixture import RAW_SQL, faulty_sql
@@ -553,6 +555,33 @@ ORACLE["numeric_tests"] = on(
       FROM stat s JOIN area USING (feature)""",
 )
 
+
+
+def _poisson_steps(rate: int) -> str:
+    """Ends of the 15-bit draws that mean 0, 1, 2, ... rows."""
+    terms, ends = [exp(-rate)], []
+    while round(sum(terms) * 32768) < 32768:
+        ends.append(round(sum(terms) * 32768))
+        terms.append(terms[-1] * rate / len(terms))
+    return str(ends)
+
+
+_bytes = " + ".join(f"('0x' || substr(b, {at}, 2))::INT" for at in range(1, 25, 2))
+ORACLE["bootstrap_intervals"] = on(
+    "features",
+    f"""SELECT feature, {even('quantile_cont(d, 25e-3)', 3)} AS bootstrap_ci_lo, {even('quantile_cont(d, 975e-3)', 3)} AS bootstrap_ci_hi
+      FROM (SELECT feature, i, sum(w * v) FILTER (WHERE c = 1) / sum(w) FILTER (WHERE c = 1)
+        - sum(w * v) FILTER (WHERE c = 0) / sum(w) FILTER (WHERE c = 0) AS d FROM weighted GROUP BY feature, i) GROUP BY feature""",
+    vals="""SELECT 'tenure_months' AS feature, tenure_months::DOUBLE AS v, churned_flag AS c FROM features
+      UNION ALL SELECT 'monthly_charge', monthly_charge, churned_flag FROM features""",
+    keyed="""SELECT feature, v, c, n, i, '42|' || feature || '|' || printf('%.4f', v) || '|' || c || '|' || i AS k
+      FROM (SELECT feature, v, c, count(*) AS n FROM vals GROUP BY ALL), (SELECT unnest(range(2000)) AS i)""",
+    hashed="SELECT *, ('0x' || substr(md5(k || '|a'), 1, 15))::BIGINT AS a, md5(k || '|b') AS b FROM keyed",
+    weighted="SELECT *, " + " + ".join(f"CASE WHEN n & {1 << k} > 0 THEN len(list_filter({_poisson_steps(1 << k)}, lambda t: t <= (a >> {15 * k}) & 32767)) ELSE 0 END" for k in range(4))
+    + f""" + CASE WHEN n >= 16 THEN greatest(0e0, floor((n - n % 16) + sqrt((n - n % 16)::DOUBLE) * (({_bytes}) - 1530) / sqrt(65535e0) + 5e-1)) ELSE 0e0 END AS w
+      FROM hashed""",
+)
+
 _PY = {n: f"({e})::INT::DOUBLE" if "=" in e else f"({e})::DOUBLE" for n, e in DESIGN.items()}
 _DESIGN_SQL = "SELECT [" + ", ".join(_PY.values()) + "] AS x FROM features"
 _gram = "SELECT i, j, sum(x[i] * x[j]) AS s FROM design, (SELECT unnest(range(1, 16)) AS i), (SELECT unnest(range(1, 16)) AS j) GROUP BY i, j"

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +17,7 @@ from holdfast.plans.warehouse import Warehouse
 FEATURES = ["tenure_months", "monthly_charge"]
 RESAMPLES, SEED = 2000, 42
 INTERVAL = (0.025, 0.975)
+LARGE, DRAW_BITS = 16, 15  # rows of a value from which they are drawn together; bits of a uniform draw
 ALPHA = 0.05
 WIDE = "decimal(19,0)"
 
@@ -127,23 +126,65 @@ def _finding() -> Column:
     )
 
 
-def _resample(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Poisson weights of each distinct value in every resample, summed over the partition.
+def poisson_thresholds(rate: int, bits: int = DRAW_BITS) -> list[int]:
+    """Whole numbers t(0) < t(1) < ...: a uniform draw u of so many bits means Poisson(rate) = number of thresholds <= u."""
+    total, term, found = 0.0, math.exp(-rate), []
+    for k in range(20 + 10 * rate):
+        total += term
+        at = round(total * (1 << bits))
+        if at >= 1 << bits:
+            break
+        found.append(at)
+        term *= rate / (k + 1)
+    return found
 
-    A value held by c rows gets Poisson(c), the sum of c independent Poisson(1) row weights. The generator
-    is keyed by the value, so partitioning and retries do not change the draws.
+
+def _weighted(cells: DataFrame) -> DataFrame:
+    """``cells`` (n, key) with ``w``, a Poisson(n) draw, the sum of as many independent Poisson(1) weights, as a function of the key.
+
+    The count is split into powers of two below ``LARGE``, each drawn from its bits of the key's MD5 by inverting the distribution's
+    thresholds, and a multiple of ``LARGE``, drawn as a rounded normal variable: the sum of 12 bytes of a second MD5, centred.
+    """
+
+    def number(salt: str, at: int, digits: int) -> Column:
+        return F.conv(F.substring(F.md5(F.concat("key", F.lit(salt))), at, digits), 16, 10).cast("bigint")
+
+    def drawn(bit: int) -> Column:
+        at, *others = poisson_thresholds(1 << bit)
+        steps = F.when(F.col(f"_u{bit}") < at, 0)
+        for k, t in enumerate(others, start=1):
+            steps = steps.when(F.col(f"_u{bit}") < t, k)
+        return F.when(F.shiftright("n", bit).bitwiseAND(1) == 1, steps.otherwise(len(others) + 1)).otherwise(0)
+
+    powers = range(LARGE.bit_length() - 1)
+    rest = F.col("n") - F.col("n") % LARGE
+    hashed = cells.withColumns({"_a": number("|a", 1, 15), "_b": F.when(rest > 0, number("|b", 1, 12)), "_c": F.when(rest > 0, number("|b", 13, 12))})
+    parted = hashed.withColumns({f"_u{bit}": F.shiftright("_a", DRAW_BITS * bit).bitwiseAND((1 << DRAW_BITS) - 1) for bit in powers})
+    bytes_ = sum((F.shiftright(name, 8 * k).bitwiseAND(255) for name in ("_b", "_c") for k in range(6)), F.lit(0))
+    z = (bytes_ - 12 * 255 / 2) / F.lit(math.sqrt(2**16 - 1))  # a byte has variance (2^16 - 1) / 12
+    large = F.when(rest > 0, F.greatest(F.lit(0.0), F.floor(rest + F.sqrt(rest.cast("double")) * z + 0.5).cast("double"))).otherwise(0.0)
+    return parted.withColumn("w", sum((drawn(bit) for bit in powers), F.lit(0)).cast("double") + large)
+
+
+def resample_totals(hist: DataFrame, resamples: int = RESAMPLES) -> DataFrame:
+    """(feature, resample, w1, x1, w0, x0): weights and weighted values of both groups in each Poisson resample of a histogram.
+
+    Draws are column expressions of feature, value, group and resample, so neither partitioning nor retries change them, and sums of
+    parts of the histogram add up.
     """
-    sums: dict[str, np.ndarray] = {}
-    for pdf in batches:
-        for feature, value, pos, neg, key in pdf.itertuples(index=False):
-            draw = np.random.Generator(np.random.Philox(key=int(key) & (2**64 - 1)))
-            churned, retained = draw.poisson(pos, RESAMPLES), draw.poisson(neg, RESAMPLES)
-            block = sums.setdefault(feature, np.zeros((4, RESAMPLES)))
-            block += [churned, churned * value, retained, retained * value]
-    for feature, block in sums.items():
-        yield pd.DataFrame(
-            {"feature": feature, "resample": np.arange(RESAMPLES), "w1": block[0], "x1": block[1], "w0": block[2], "x0": block[3]}
-        )
+    sides = F.array(*[F.struct(F.lit(flag).alias("flag"), F.col(c).cast("bigint").alias("n")) for flag, c in ((1, "pos"), (0, "neg"))])
+    cells = hist.select("feature", "value", F.inline(sides)).filter("n > 0")
+    named = cells.withColumn("name", F.concat_ws("|", F.lit(str(SEED)), "feature", F.format_string("%.4f", "value"), F.col("flag").cast("string")))
+    # a fixed number of tasks: by its size the histogram would be one, and the resamples are many times as much
+    dealt = named.repartition(int(hist.sparkSession.conf.get("spark.sql.shuffle.partitions")), "name")
+    spread = dealt.withColumn("resample", F.explode(F.sequence(F.lit(0), F.lit(resamples - 1))))
+    drawn = _weighted(spread.withColumn("key", F.concat("name", F.lit("|"), F.col("resample").cast("string"))))
+
+    def total(flag: int, what: Column) -> Column:
+        return F.sum(F.when(F.col("flag") == flag, what).otherwise(0.0))
+
+    w, x = F.col("w"), F.col("w") * F.col("value")
+    return drawn.groupBy("feature", "resample").agg(total(1, w).alias("w1"), total(1, x).alias("x1"), total(0, w).alias("w0"), total(0, x).alias("x0"))
 
 
 def bootstrap_intervals(wh: Warehouse, features: list[str] = FEATURES) -> DataFrame:
@@ -153,15 +194,9 @@ def bootstrap_intervals(wh: Warehouse, features: list[str] = FEATURES) -> DataFr
     feature and resample.
     """
     values = feature_values(wh.star("dim_subscriber", "fact_billing", "fact_attrition_label"), features)
-    keyed = histogram(values).select("*", F.xxhash64(F.lit(SEED), "feature", "value").alias("key"))
-    sums = (
-        keyed.mapInPandas(_resample, "feature string, resample int, w1 double, x1 double, w0 double, x0 double")
-        .groupBy("feature", "resample")
-        .agg(*[F.sum(c).alias(c) for c in ("w1", "x1", "w0", "x0")])
-    )
     difference = ratio(F.col("x1"), F.col("w1")) - ratio(F.col("x0"), F.col("w0"))
     bounds = F.percentile(difference, F.array(*[F.lit(q) for q in INTERVAL]))
-    return sums.groupBy("feature").agg(bounds.alias("q")).select(
+    return resample_totals(histogram(values)).groupBy("feature").agg(bounds.alias("q")).select(
         "feature",
         half_even(F.col("q")[0], 3).alias("bootstrap_ci_lo"),
         half_even(F.col("q")[1], 3).alias("bootstrap_ci_hi"),

@@ -12,7 +12,7 @@ from holdfast.sources.schema import HEADER_OF
 from tests.conftest import SMALL
 
 FITTED = {"trained_models", "train_and_score", "feature_importance", "odds_ratios"}
-ARROW = {"bootstrap_intervals", "association_tests", "numeric_tests", "vif", "km_summary"}
+ARROW = {"association_tests", "numeric_tests", "vif", "km_summary"}
 
 
 def plan(df):

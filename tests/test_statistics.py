@@ -2,6 +2,7 @@
 
 import math
 import random
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from holdfast.functions.tails import chi2_tail, student_two_sided
 from holdfast.operators.prefix import running_totals
 from holdfast.plans.contingency import chi_square
 from holdfast.plans.metrics import ranking_metrics
-from holdfast.plans.numeric import _resample, two_group_figures
+from holdfast.plans.numeric import poisson_thresholds, resample_totals, two_group_figures
 from holdfast.plans.survival import curves
 
 
@@ -105,18 +106,22 @@ def test_one_class_has_no_auc(spark):
 
 
 def test_bootstrap_draws_do_not_depend_on_partitioning(spark):
-    rows = [("f", float(v), v % 7 + 1, v % 5 + 1) for v in range(60)]
-    hist = spark.createDataFrame(rows, "feature string, value double, pos bigint, neg bigint").select(
-        "*", F.xxhash64("feature", "value").alias("key")
-    )
-    schema = "feature string, resample int, w1 double, x1 double, w0 double, x0 double"
+    rows = [("f", float(v), v % 7 + 1, (v % 5 + 1) * (v % 11)) for v in range(60)]
+    hist = spark.createDataFrame(rows, "feature string, value double, pos bigint, neg bigint")
 
     def draws(n):
-        out = hist.repartition(n).mapInPandas(_resample, schema).groupBy("resample").agg(F.sum("x1"), F.sum("w0"))
-        return sorted(map(tuple, out.collect()))
+        return sorted(map(tuple, resample_totals(hist.repartition(n), 300).collect()))
 
     one = draws(1)
-    assert one == draws(6)
-    mean = sum(r[2] for r in one) / len(one)
-    assert mean == pytest.approx(sum(r[3] for r in rows), rel=0.02)
-    assert math.isfinite(mean)
+    assert one == draws(6) and len(one) == 300
+    for at, column in ((2, 2), (4, 3)):  # a weight's mean and variance are the number of rows
+        weights, n = [r[at] for r in one], sum(r[column] for r in rows)
+        assert statistics.mean(weights) == pytest.approx(n, rel=0.02)
+        assert statistics.pvariance(weights) == pytest.approx(n, rel=0.3)
+
+
+def test_poisson_thresholds():
+    for rate in (1, 2, 4, 8):
+        ends = [0, *poisson_thresholds(rate), 1 << 15]
+        shares = [(b - a) / (1 << 15) for a, b in zip(ends, ends[1:])]
+        assert shares == pytest.approx([math.exp(-rate) * rate**k / math.factorial(k) for k in range(len(shares))], abs=1e-4)
