@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,8 +30,25 @@ from holdfast.llm.common import as_bytes
 
 #: How byte-level BPE splits a text before it merges (a fixed value of the tokenizer).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_KNOWN = 300_000  # chunks, and pre-tokens, that a worker remembers
-_PAIRS = 500_000
+_KNOWN = 150_000  # chunks, and pre-tokens, of a generation that a worker remembers
+_PAIRS = 100_000
+
+
+class Recent:
+    """What was met lately: two generations, the older of which goes when the younger is full. What is met again is young again."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def missing(self, keys: set) -> set:
+        """Keys that are not known; the others are young after this call and can be read from ``young``."""
+        absent = keys - self.young.keys()
+        if len(self.young) + len(absent) > self.size and self.young:
+            self.young, self.old = {}, self.young
+            absent = keys
+        back = absent & self.old.keys()
+        self.young.update((k, self.old[k]) for k in back)
+        return absent - back
 
 
 def byte_letters() -> dict[str, int]:
@@ -64,8 +82,16 @@ class TrieBPE:
         self.parts = regex.compile("|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True))) if self.special else None
         self.broad = regex.compile(r"\s ")
         self.pairs: dict[int, bool] = {}
-        self.words: dict[bytes, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
+        self.edges: dict[int, tuple[list, list] | None] = {}
+        born = {}
+        for rank, t in self.merge.values():
+            born[t] = max(rank, born.get(t, -1))
+        # every merge comes after those that make its parts, so ranks never fall while a string is merged
+        self.ordered = all(rank > max(born.get(a, -1), born.get(b, -1)) for (a, b), (rank, _) in self.merge.items())
+        self.words, self.chunks = Recent(_KNOWN), Recent(_KNOWN)
+        self.table = np.empty(max(self.text) + 1, object)  # bytes by id
+        for i, t in self.text.items():
+            self.table[i] = t
 
     @classmethod
     def of(cls, path: str) -> "TrieBPE":
@@ -84,6 +110,30 @@ class TrieBPE:
             ids[k : k + 2] = [self.merge[ids[k], ids[k + 1]][1]]
         return ids
 
+    def _edges(self, token: int) -> tuple[list, list] | None:
+        """What stands at the right and at the left end of a token while it is merged from its bytes: tokens with the rank of the
+        merge that ends them. None if its bytes become something else."""
+        found = self.edges.get(token, 0)
+        if found != 0:
+            return found
+        nodes = [(self.number[self.token[token][k : k + 1]], -1, None, None) for k in range(len(self.token[token]))]
+        while len(nodes) > 1:
+            fits = [(self.merge[p][0], k) for k, p in enumerate((a[0], b[0]) for a, b in zip(nodes, nodes[1:])) if p in self.merge]
+            if not fits:
+                break
+            rank, k = min(fits)
+            nodes[k : k + 2] = [(self.merge[nodes[k][0], nodes[k + 1][0]][1], rank, nodes[k], nodes[k + 1])]
+        found = None
+        if len(nodes) == 1 and nodes[0][0] == token:
+            found = ([], [])
+            for side, spine in ((3, found[0]), (2, found[1])):
+                node, ends = nodes[0], len(self.merge)
+                while node:
+                    spine.append((node[0], ends))
+                    node, ends = node[side], node[1]
+        self.edges[token] = found
+        return found
+
     def _stable(self, before: int, token: int) -> bool:
         """Whether ``token`` may follow ``before`` (-1: the start of a word)."""
         key = (before << 32) + token
@@ -91,8 +141,16 @@ class TrieBPE:
         if known is None:
             if len(self.pairs) >= _PAIRS:
                 self.pairs.clear()
-            whole = [token] if before < 0 else [before, token]
-            known = self.pairs[key] = self._merged(b"".join(self.token[t] for t in whole)) == whole
+            if not self.ordered:
+                whole = [token] if before < 0 else [before, token]
+                known = self._merged(b"".join(self.token[t] for t in whole)) == whole
+            else:
+                # merges go by rank: two ends merge if their rank comes before both are used up, the left one first in a tie
+                own, merge = self._edges(token), self.merge
+                known = own is not None
+                if known and before >= 0:
+                    known = not any((x, y) in merge and merge[x, y][0] < i and merge[x, y][0] <= j for x, i in self._edges(before)[0] for y, j in own[1])
+            self.pairs[key] = known
         return known
 
     def _encode_words(self, words: list[bytes]) -> None:
@@ -100,7 +158,7 @@ class TrieBPE:
         last = [-1]  # the last token of each prefix on the stack
         length = [0]
         previous = b""
-        number, endings, token = self.number, self.endings, self.token
+        number, endings, known = self.number, self.endings, self.words.young
         for word in sorted(words):
             shared = 0
             for a, b in zip(previous, word):
@@ -127,7 +185,7 @@ class TrieBPE:
             while at:
                 ids.append(last[at])
                 at -= length[at]
-            self.words[word] = np.array(ids[::-1], "<u4").tobytes()
+            known[word] = struct.pack(f"<{len(ids)}I", *reversed(ids))
             previous = word
 
     def _cut(self, text: str) -> list[str]:
@@ -144,18 +202,12 @@ class TrieBPE:
         for text in texts:
             found = self.parts.findall(text) if self.parts and any(t in text for t in self.special) else []
             cut.append(([self._cut(x) for x in (self.parts.split(text) if found else [text])], found))
-        fresh = set().union(*(c for pieces, _ in cut for c in pieces)) - self.chunks.keys()
-        if len(self.chunks) + len(fresh) > _KNOWN:
-            self.chunks.clear()
-            fresh = set().union(*(c for pieces, _ in cut for c in pieces))
+        fresh = self.chunks.missing(set().union(*(c for pieces, _ in cut for c in pieces)))
         tokens = {c: [w.encode() for w in self.split.findall(c)] for c in fresh}
-        needed = set().union(*tokens.values())
-        if len(self.words) + len(needed) > _KNOWN:
-            self.words.clear()
-        self._encode_words(list(needed - self.words.keys()))
-        words = self.words
-        self.chunks.update((c, b"".join(map(words.__getitem__, ws))) for c, ws in tokens.items())
-        chunk = self.chunks.__getitem__
+        self._encode_words(list(self.words.missing(set().union(*tokens.values()))))
+        word, chunks = self.words.young.__getitem__, self.chunks.young
+        chunks.update((c, b"".join(map(word, ws))) for c, ws in tokens.items())
+        chunk = chunks.__getitem__
         out = []
         for pieces, found in cut:
             ids = [b"".join(map(chunk, pieces[0]))]
@@ -167,11 +219,11 @@ class TrieBPE:
 
     def decode(self, ids: bytes) -> str:
         """Text of ids, special tokens included."""
-        return b"".join(map(self.text.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+        return b"".join(self.table[np.frombuffer(ids, "<u4")].tolist()).decode("utf-8", "replace")
 
 
 _REPORT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
-_TEXT = 4_000_000  # bytes of text encoded at once
+_TEXT = 2_000_000  # bytes of text encoded at once
 
 
 def _coded(tokenizer: str):
