@@ -73,3 +73,74 @@ base AS (
 judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base)
 SELECT j.*, NOT base_failed AND coalesce(s, 0) >= {quality_rules.THRESHOLD} AS kept FROM judged j LEFT JOIN scores USING (doc_id)
 """
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of a column of ASCII text: its codes, each followed by eight shifts (-1)."""
+    codes = f"flatten(list_transform(range(1, length({text}) + 1), lambda i: list_concat([ord({text}[i])::BIGINT], list_transform(range(8), lambda z: -1::BIGINT))))"
+    step = "CASE WHEN e >= 0 THEN xor(a, e) ELSE xor(a >> 1, 3988292384::BIGINT * (a & 1)) END"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {codes}), lambda a, e: {step}), 4294967295::BIGINT)"
+
+
+#: Trie of rebuilt conversations; a node is the JSON of its turns.
+PREFIX_TRIE = f"""
+WITH turns AS (SELECT conv_id AS c, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT c, c::VARCHAR AS s, list({{'r': r, 'x': x}} ORDER BY turn NULLS FIRST, r, x) AS ts FROM turns GROUP BY c),
+counted AS (SELECT c, ts, {_crc32('s')} % 4 AS h FROM own),
+rebuilt AS (
+  SELECT o.c, CASE WHEN b.c IS NULL THEN o.ts[h + 1:] ELSE list_concat(b.ts[1:h], o.ts[h + 1:]) END AS ts
+  FROM counted o LEFT JOIN own b ON b.c = o.c - o.c % 20),
+members AS (
+  SELECT c, d, len(ts) AS size, md5(to_json(ts[1:d])::VARCHAR) AS k, CASE WHEN d > 0 THEN md5(to_json(ts[1:d - 1])::VARCHAR) END AS pk,
+    CASE WHEN d > 0 THEN len(regexp_extract_all(ts[d].x, '{_WORD}+')) ELSE 0 END AS words
+  FROM (SELECT c, ts, unnest(range(0, len(ts) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT k, any_value(d) AS d, any_value(pk) AS pk, min(c) AS c, count(*) AS n, any_value(words) AS words,
+    string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE size = d) AS ends
+  FROM members GROUP BY k),
+children AS (SELECT pk AS k, count(*) AS m FROM nodes WHERE pk IS NOT NULL GROUP BY pk),
+valued AS (SELECT nodes.*, coalesce(m, 0) AS m, (n - 1) * words AS worth FROM nodes LEFT JOIN children USING (k)),
+sums AS (
+  SELECT a.k, count(*) FILTER (WHERE v.m = 0) AS leaves, sum(v.worth) AS worth
+  FROM valued v JOIN members a ON a.c = v.c AND a.d <= v.d GROUP BY a.k)
+SELECT v.c AS conv_id, v.d::BIGINT AS depth, p.c AS parent_conv_id, v.n AS n_convs, v.m AS n_children, leaves AS n_leaves,
+  sums.worth::BIGINT AS saved_tokens, sha256(coalesce(v.ends, '')) AS ends_sha256
+FROM valued v JOIN sums USING (k) LEFT JOIN nodes p ON p.k = v.pk
+"""
+
+
+def _encoded(values: list[str]) -> str:
+    return "sha256(" + " || ".join(f"coalesce(strlen({v}::VARCHAR) || ':' || {v}::VARCHAR, '-')" for v in values) + ")"
+
+
+_PAIRS = "list_transform(range(0, (len(ns) + 1) // 2), lambda i: sha256(ns[2 * i + 1] || coalesce(ns[2 * i + 2], '')))"
+_STEP = """CASE WHEN (ix & 1) = 1 THEN 'L' || ns[ix] WHEN ix + 2 <= len(ns) THEN 'R' || ns[ix + 2] ELSE 'N' END"""
+
+#: Merkle proofs: the nodes of every level as one list, siblings by the bits of a leaf's rank.
+MERKLE = f"""
+WITH RECURSIVE hashed AS (
+  SELECT doc_id, lang, {_encoded(['doc_id', 'source', 'lang', 'n_chars', 'text'])} AS leaf,
+    CASE WHEN {_crc32('s')} % 7 = 0 THEN {_encoded(['doc_id', 'source', 'lang', '(n_chars + 1)', 'text'])}
+      ELSE {_encoded(['doc_id', 'source', 'lang', 'n_chars', 'text'])} END AS claim
+  FROM (SELECT *, doc_id::VARCHAR AS s FROM documents)),
+ranked AS (
+  SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM hashed),
+levels AS (
+  SELECT tree, 0 AS level, list(leaf ORDER BY pos) AS ns FROM ranked GROUP BY tree
+  UNION ALL SELECT tree, level + 1, {_PAIRS} FROM levels WHERE len(ns) > 1),
+subroots AS (SELECT tree, ns[1] AS subroot FROM levels WHERE len(ns) = 1),
+above AS (
+  SELECT 0 AS level, list(subroot ORDER BY tree) AS ns FROM subroots
+  UNION ALL SELECT level + 1, {_PAIRS} FROM above WHERE len(ns) > 1),
+root AS (SELECT ns[1] AS root FROM above WHERE len(ns) = 1),
+inner_steps AS (SELECT tree, pos, list({_STEP} ORDER BY level) AS st FROM (SELECT r.tree, pos, level, ns, (pos >> level)::BIGINT AS ix FROM ranked r JOIN levels l ON l.tree = r.tree AND len(ns) > 1) GROUP BY tree, pos),
+outer_steps AS (SELECT tree, list({_STEP} ORDER BY level) AS st FROM (SELECT tree, level, ns, (tree >> level)::BIGINT AS ix FROM subroots, above WHERE len(ns) > 1) GROUP BY tree),
+proofs AS (
+  SELECT r.*, subroot, list_concat(coalesce(i.st, []::VARCHAR[]), coalesce(o.st, []::VARCHAR[])) AS st
+  FROM ranked r JOIN subroots USING (tree) LEFT JOIN inner_steps i ON i.tree = r.tree AND i.pos = r.pos LEFT JOIN outer_steps o ON o.tree = r.tree),
+folded AS (
+  SELECT *, sha256(array_to_string(list_transform(st, lambda s: s[2:]), '')) AS proof,
+    list_reduce(list_concat([claim], st), lambda a, s: sha256(CASE s[1] WHEN 'L' THEN s[2:] || a WHEN 'R' THEN a || s[2:] ELSE a END)) AS top
+  FROM proofs)
+SELECT doc_id, leaf, subroot, root, proof AS proof_sha256, top AS folded_root, top = root AS verified FROM folded, root
+"""

@@ -92,4 +92,6 @@ ORACLE: dict[str, str] = {
     "op5_quality_rules": oracles.QUALITY_RULES,
     "op9_url_lists": url_lists.ORACLE,
     "op10_suffix_dedup": oracles.SUFFIX_DEDUP,
+    "op12_prefix_trie": oracles.PREFIX_TRIE,
+    "op13_merkle_manifest": oracles.MERKLE,
 }
