@@ -15,6 +15,7 @@ their text hashes. Other columns are ignored; an empty table gives an empty stor
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -79,6 +80,12 @@ def token_in(levels: list, at: int) -> int:
 # --- encoding ------------------------------------------------------------------------------------------------------
 
 
+def _letters(word: bytes) -> bool:
+    """Whether a word has letters alone in the form that the tokenizer reads, composed and in lower case: there a capital may have become a
+    letter and a mark, which is no letter and is cut together with punctuation behind it."""
+    return word.isalpha() or unicodedata.normalize("NFC", word.decode()).lower().isalpha()
+
+
 class WordEncoder:
     """Ids of whole texts from a tokenizer that treats white space as a mere separator: every different word goes through
     the library once while it is remembered. A worker keeps one encoder per file; the memory is bounded by ``_CACHE``."""
@@ -107,7 +114,7 @@ class WordEncoder:
         out = {}
         letters, others = [], []
         for word in words:
-            (letters if word.isalpha() or word.decode().isalpha() else others).append(word)
+            (letters if _letters(word) else others).append(word)
         for lo in range(0, len(letters), 4096):  # a word of letters alone ends where a token says so
             part = letters[lo : lo + 4096]
             ids = np.array(self.tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False).ids, "<u4")
@@ -128,7 +135,7 @@ class WordEncoder:
         """A word of ASCII letters in lower case, apart from one mark behind it; other words as they are."""
         if word.isalpha():
             return word.lower(), b""
-        if word[-1:] in (b".", b",", b"!", b"?", b";", b":") and (word[:-1].isalpha() or word[:-1].decode().isalpha()):
+        if word[-1:] in (b".", b",", b"!", b"?", b";", b":") and _letters(word[:-1]):
             return word[:-1].lower(), word[-1:]  # on bytes only ASCII letters change
         return word, b""
 

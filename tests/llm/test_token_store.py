@@ -1,4 +1,5 @@
 import random
+import unicodedata
 import zlib
 
 import numpy as np
@@ -70,3 +71,14 @@ def test_store(spark, tmp_path):
         store.token(at)
     empty = ts.write_tokens(docs.limit(0), str(tmp_path / "e"), PATH, 2)
     assert empty.documents().count() == 0
+
+
+def test_every_cased_and_composed_letter_before_every_mark():
+    """Letters that change in lower case or when composed, with each mark behind them, as the library encodes them."""
+    changing = [c for c in map(chr, range(128, 0x1F000)) if c.isalpha() and (c.lower() != c or unicodedata.normalize("NFC", c) != c)]
+    assert len(changing) > 1000 and "İ" in changing
+    words = [f"BEN{c}{mark}" for c in changing for mark in (*".,!?;:", "")] + [f"x{c}e" for c in changing]
+    got = ts.WordEncoder(PATH).encode([[w.encode()] for w in words])
+    library = Tokenizer.from_file(PATH)
+    want = library.encode_batch(words, add_special_tokens=False)
+    assert [w for w, g, e in zip(words, got, want) if g.tolist() != e.ids] == []
