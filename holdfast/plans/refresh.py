@@ -46,7 +46,7 @@ def load(spark: SparkSession, raw: DataFrame, namespace: str, n_buckets: int | N
 
 def apply_cutoffs(wh: Warehouse, runs: DataFrame) -> None:
     """Band the stored scores of ``runs`` by the cut-offs that follow from the value and F1 searches."""
-    cutoffs = optimal_threshold(wh).join(runs.select("run_id"), "run_id", "left_semi").select("run_id", "high_cutoff", "medium_cutoff")
+    cutoffs = optimal_threshold(wh, runs).select("run_id", "high_cutoff", "medium_cutoff")
     scores = wh.table("fact_prediction").join(cutoffs, "run_id")
     banded = scores.withColumn("risk_band", risk_band(F.col("risk_score"), F.col("high_cutoff"), F.col("medium_cutoff")))
     wh.upsert_predictions(banded.select(*PREDICTION_COLUMNS))

@@ -72,6 +72,11 @@ class Warehouse:
             "is_senior", "contract_type", "payment_method", "is_autopay", "monthly_charge", "churned_flag",
         )
 
+    def n_buckets(self, name: str) -> int:
+        """Buckets that a stored table was built with, whatever the session's shuffle width is now."""
+        told = self.spark.sql(f"DESCRIBE EXTENDED {self.namespace}.{name}")
+        return int(told.filter("col_name = 'Num Buckets'").first().data_type)
+
     def register_views(self) -> None:
         """Temp views over all tables and both report views, for ad-hoc SQL."""
         for name in TABLES:
@@ -109,7 +114,7 @@ class Warehouse:
         # insertInto takes the overwrite mode from the session only, so the write has a session of its own
         own = self._own_session()
         own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        staged = own.table(stage).repartition(buckets(self.spark), KEY).select(*stored.columns)
+        staged = own.table(stage).repartition(self.n_buckets("fact_prediction"), KEY).select(*stored.columns)
         staged.write.mode("overwrite").insertInto(f"{self.namespace}.fact_prediction")
         self.spark.catalog.refreshTable(f"{self.namespace}.fact_prediction")
         self.spark.sql(f"DROP TABLE IF EXISTS {stage}")
