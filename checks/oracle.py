@@ -10,7 +10,7 @@ from math import exp
 
 from holdfast.plans.contingency import FEATURES
 from holdfast.plans.odds import DESIGN
-from holdfast.sources.fixture import RAW_SQL, faulty_sql
+from holdfast.sources.fixture import RAW_SQL, faulty_sql, faulty_star_sql
 from holdfast.sources.schema import HEADER_OF, INTERNET_ADD_ONS, PREDICTION_COLUMNS, RAW_COLUMNS, STAR
 
 # Fixed values, written out here and not taken from the engine, so that a wrong rule there shows: allowed raw values, and
@@ -270,29 +270,40 @@ _star_tables["fact_prediction"] = f"(SELECT {', '.join(PREDICTION_COLUMNS)} FROM
 _star_tables["model_run"] = "(SELECT run_id, model_name, trained_at, 42 AS seed FROM model_run)"
 _columns = {t: ["subscriber_id", *c] for t, c in STAR.items()}
 _columns["fact_prediction"], _columns["model_run"] = PREDICTION_COLUMNS, REQUIRED_IN_REGISTRY
-_lines = []
 
 
-def _rule(table: str, kind: str, column: str, count: str, source: str) -> None:
-    _lines.append(
-        f"SELECT '{table}' AS table_name, '{kind}' AS rule_kind, '{column}' AS column_name, ({count})::BIGINT AS violations FROM {source}"
-    )
-
-
-for _t, _source in _star_tables.items():
-    for _c in _columns[_t]:
-        _rule(_t, "not_null", _c, f"count(*) FILTER (WHERE {_c} IS NULL)", _source)
-    for _kind, _sets in (("enum", ENUMS), ("code", CODES)):
-        for _c, _values in _sets.get(_t, {}).items():
-            _rule(_t, _kind, _c, f"count(*) FILTER (WHERE {_c} NOT IN {in_list(_values)})", _source)
-    for _c, _text in RANGES.get(_t, {}).items():
-        _rule(_t, "range", _c, f"count(*) FILTER (WHERE NOT ({_text}))", _source)
-    _key = ", ".join(PRIMARY_KEYS[_t])
-    _rule(_t, "primary_key", ",".join(PRIMARY_KEYS[_t]), f"count(*) - count(DISTINCT ({_key}))", _source)
-for _t in CHILDREN:
-    _rule(_t, "foreign_key", "subscriber_id",
-          "count(*) FILTER (WHERE subscriber_id NOT IN (SELECT subscriber_id FROM features))", _star_tables[_t])
-ORACLE["constraint_violations"] = on("predictions", " UNION ALL ".join(_lines))
+def _rule_counts(sources: dict[str, str]) -> str:
+    """One row per rule; a key that is NULL in any part breaks no key rule."""
+    lines = []
+
+    def rule(table: str, kind: str, column: str, count: str) -> None:
+        lines.append(
+            f"SELECT '{table}' AS table_name, '{kind}' AS rule_kind, '{column}' AS column_name, ({count})::BIGINT AS violations "
+            f"FROM {sources[table]}"
+        )
+
+    for t in sources:
+        for c in _columns[t]:
+            rule(t, "not_null", c, f"count(*) FILTER (WHERE {c} IS NULL)")
+        for kind, sets in (("enum", ENUMS), ("code", CODES)):
+            for c, values in sets.get(t, {}).items():
+                rule(t, kind, c, f"count(*) FILTER (WHERE {c} NOT IN {in_list(values)})")
+        for c, text in RANGES.get(t, {}).items():
+            rule(t, "range", c, f"count(*) FILTER (WHERE NOT ({text}))")
+        keys = PRIMARY_KEYS[t]
+        known = " AND ".join(f"{c} IS NOT NULL" for c in keys)
+        rule(t, "primary_key", ",".join(keys), f"count(*) FILTER (WHERE {known}) - count(DISTINCT ({', '.join(keys)})) FILTER (WHERE {known})")
+    parents = f"SELECT subscriber_id FROM {sources['dim_subscriber']} WHERE subscriber_id IS NOT NULL"
+    for t in CHILDREN:
+        rule(t, "foreign_key", "subscriber_id", f"count(*) FILTER (WHERE subscriber_id NOT IN ({parents}))")
+    return " UNION ALL ".join(lines)
+
+
+_faulty = {t: f"({faulty_star_sql(t, _columns[t], source)})" for t, source in _star_tables.items()}
+ORACLE["constraint_violations"] = on("predictions", _rule_counts(_star_tables))
+ORACLE["constraint_violations_faulty"] = on(
+    "predictions", _rule_counts({t: f"bad_{t}" for t in _faulty}), **{f"bad_{t}": f"SELECT * FROM {sql}" for t, sql in _faulty.items()}
+)
 
 # Reports -------------------------------------------------------------------------------------------------
 
@@ -352,6 +363,13 @@ ORACLE["data_quality_checks"] = over_features(
         for t in STAR
     )
 )
+ORACLE["data_quality_checks_faulty"] = on(
+    "predictions",
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS row_count, count(*) FILTER (WHERE subscriber_id IS NULL) AS null_id_count FROM {_faulty[t]}"
+        for t in STAR
+    ),
+)
 ORACLE["table_row_counts"] = over_features(
     " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM features" for t in STAR)
     + f" UNION ALL SELECT 'total_records', {len(STAR)} * count(*) FROM features"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.functions.rounding import half_even, ratio
@@ -236,7 +236,8 @@ def constraint_violations(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows violating each declared rule, per table.
 
     One pass per table: its rows are looked up in the parent's keys and grouped by their own key, both within the
-    buckets of a stored table, so neither moves rows; rule hits, copies and orphans are summed from the groups.
+    buckets of a stored table, so neither moves rows; rule hits, copies and orphans are summed from the groups. A key
+    that is NULL in any part is neither a copy nor an orphan.
     """
     parts = []
     parent = tables[PARENT].groupBy("subscriber_id").agg(F.lit(True).alias("_known"))
@@ -246,9 +247,10 @@ def constraint_violations(tables: dict[str, DataFrame]) -> DataFrame:
         sums = [F.expr(f"count_if({broken}) AS r{i}") for i, (_, _, broken) in enumerate(rules)]
         if name in CHILDREN:
             df = df.join(parent, "subscriber_id", "left")
-            sums.append(F.count_if(F.col("_known").isNull()).alias("orphans"))
+            sums.append(F.count_if(F.col("_known").isNull() & F.col("subscriber_id").isNotNull()).alias("orphans"))
             lines.append(("foreign_key", "subscriber_id", "orphans"))
-        per_key = df.groupBy(*key).agg(*sums, (F.count("*") - 1).alias("copies"))
+        complete = reduce(Column.__and__, [F.col(c).isNotNull() for c in key])
+        per_key = df.groupBy(*key).agg(*sums, F.count("*").alias("n")).withColumn("copies", F.when(complete, F.col("n") - 1))
         counts = per_key.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for _, _, c in lines])
         parts.append(_violations(counts, name, lines))
     return reduce(DataFrame.unionByName, parts)

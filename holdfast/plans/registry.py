@@ -13,7 +13,7 @@ from holdfast.operators.features import add_features
 from holdfast.operators.keyed import first_per_key, latest_calibrated_run, of_run, upsert
 from holdfast.plans import contingency, metrics, numeric, odds, reports, survival, training, watchlist
 from holdfast.plans.warehouse import KEY, STAR, TABLES, Warehouse, open_warehouse
-from holdfast.sources.fixture import faulty_subscribers, raw_subscribers
+from holdfast.sources.fixture import faulty_star, faulty_subscribers, raw_subscribers
 from holdfast.sources.schema import PREDICTION_KEY
 from holdfast.sources.tables import fingerprint, profile
 
@@ -32,8 +32,8 @@ def _on_warehouse(plan: Callable[[Warehouse], DataFrame]) -> Query:
     return lambda spark, folder: plan(open_warehouse(spark, folder))
 
 
-def _constraints(wh: Warehouse) -> DataFrame:
-    return quality.constraint_violations({name: wh.table(name) for name in TABLES})
+def _on_tables(plan: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
+    return _on_warehouse(lambda wh: plan({name: wh.table(name) for name in TABLES}))
 
 
 def _rescored(wh: Warehouse) -> DataFrame:
@@ -66,7 +66,8 @@ QUERIES: dict[str, Query] = {
     **{name: _on_warehouse(lambda wh, name=name: wh.table(name)) for name in STAR},
     "subscriber_360": _on_warehouse(Warehouse.subscriber_360),
     "scored_watchlist": _on_warehouse(Warehouse.scored_watchlist),
-    "constraint_violations": _on_warehouse(_constraints),
+    "constraint_violations": _on_tables(quality.constraint_violations),
+    "constraint_violations_faulty": _on_tables(lambda tables: quality.constraint_violations(faulty_star(tables))),
     "predictions_upsert": _on_warehouse(_rescored),
     # reports
     "kpi_summary": _on_warehouse(reports.kpi_summary),
@@ -77,7 +78,8 @@ QUERIES: dict[str, Query] = {
     "tenure_cohort_retention": _on_warehouse(reports.tenure_cohort_retention),
     "revenue_at_risk_by_band": _on_warehouse(reports.revenue_at_risk_by_band),
     "top_risk_within_segment": _on_warehouse(reports.top_risk_within_segment),
-    "data_quality_checks": _on_warehouse(reports.data_quality_checks),
+    "data_quality_checks": _on_tables(reports.data_quality_checks),
+    "data_quality_checks_faulty": _on_tables(lambda tables: reports.data_quality_checks(faulty_star(tables))),
     "table_row_counts": _on_warehouse(reports.table_row_counts),
     "command_center_kpis": _on_warehouse(reports.command_center_kpis),
     "churn_rate_by_contract": _on_warehouse(reports.churn_rate_by_contract),

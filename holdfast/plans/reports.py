@@ -189,10 +189,10 @@ def top_risk_within_segment(wh: Warehouse, top: int = TOP_IN_SEGMENT) -> DataFra
     )
 
 
-def data_quality_checks(wh: Warehouse) -> DataFrame:
+def data_quality_checks(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows and missing ids per star table."""
     checks = [
-        wh.table(name).agg(
+        tables[name].agg(
             F.lit(name).alias("table_name"),
             F.count("*").alias("row_count"),
             F.count_if(F.col(KEY).isNull()).alias("null_id_count"),

@@ -103,6 +103,54 @@ def faulty_subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(faulty_sql(raw.columns, "{raw}"), raw=raw)
 
 
+#: Faults of the stored tables by column, as conditions on the subscriber's number. The parent also lacks some rows.
+STAR_FAULTS = {
+    "dim_subscriber": {
+        "subscriber_id": "CASE WHEN k % 89 = 0 THEN NULL ELSE subscriber_id END",
+        "gender": "CASE WHEN k % 41 = 0 THEN 'Unknown' WHEN k % 43 = 0 THEN NULL ELSE gender END",
+        "tenure_months": "CASE WHEN k % 47 = 0 THEN -1 ELSE tenure_months END",
+        "is_new_subscriber": "CASE WHEN k % 53 = 0 THEN 2 ELSE is_new_subscriber END",
+    },
+    "dim_service_profile": {
+        "internet_service": "CASE WHEN k % 37 = 0 THEN 'Cable' ELSE internet_service END",
+        "services_count": "CASE WHEN k % 59 = 0 THEN -2 ELSE services_count END",
+    },
+    "dim_contract": {
+        "subscriber_id": "CASE WHEN k % 71 = 0 THEN NULL ELSE subscriber_id END",
+        "contract_type": "CASE WHEN k % 31 = 0 THEN 'Weekly' ELSE contract_type END",
+        "contract_commitment_months": "CASE WHEN k % 29 = 0 THEN 7 ELSE contract_commitment_months END",
+    },
+    "fact_billing": {
+        "monthly_charge": "CASE WHEN k % 23 = 0 THEN 0e0 ELSE monthly_charge END",
+        "lifetime_billed": "CASE WHEN k % 61 = 0 THEN -1e0 WHEN k % 67 = 0 THEN NULL ELSE lifetime_billed END",
+    },
+    "fact_attrition_label": {"churned_flag": "CASE WHEN k % 19 = 0 THEN NULL WHEN k % 73 = 0 THEN 3 ELSE churned_flag END"},
+    "fact_prediction": {
+        "risk_score": "CASE WHEN k % 79 = 0 THEN 12e-1 WHEN k % 83 = 0 THEN NULL ELSE risk_score END",
+        "risk_band": "CASE WHEN k % 97 = 0 THEN 'Severe' ELSE risk_band END",
+    },
+    "model_run": {"trained_at": "CASE WHEN run_id = 'r2' THEN NULL ELSE trained_at END"},
+}
+
+
+def faulty_star_sql(table: str, columns: list[str], source: str) -> str:
+    """Query over a stored table that injects its faults, repeats some rows and leaves out some parents."""
+    faults = STAR_FAULTS[table]
+    listed = ", ".join(f"{faults[c]} AS {c}" if c in faults else c for c in columns)
+    if table == "model_run":
+        return f"SELECT {listed} FROM {source} AS r UNION ALL SELECT {listed} FROM {source} AS r WHERE run_id = 'r1'"
+    keyed = f"(SELECT *, CAST(substr(subscriber_id, 2) AS BIGINT) AS k FROM {source} AS t) AS s"
+    kept = " WHERE k % 101 <> 0" if table == "dim_subscriber" else ""
+    return f"SELECT {listed} FROM {keyed}{kept} UNION ALL SELECT {listed} FROM {keyed} WHERE k % 17 = 0"
+
+
+def faulty_star(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The stored tables with faults, so that every kind of rule is broken somewhere."""
+    return {
+        name: df.sparkSession.sql(faulty_star_sql(name, df.columns, "{source}"), source=df) for name, df in tables.items()
+    }
+
+
 def predictions(subscribers: DataFrame) -> DataFrame:
     """Scores of four runs per subscriber: deterministic, four decimals, related to the label, with ties.
 
