@@ -405,11 +405,12 @@ ORACLE["top_risk_preview"] = on("watchlist", """
 SELECT subscriber_id, contract_type, tenure_months, monthly_charge, risk_score, risk_band, payment_method
 FROM watchlist WHERE place <= 3""")
 ORACLE["call_list"] = on("watchlist", f"SELECT {_WATCH} FROM watchlist WHERE place <= 500")
-ORACLE["watchlist_page"] = on("watchlist", """
+for _name, _page in (("watchlist_page", 3), ("watchlist_deep_page", 200), ("watchlist_page_beyond", 10**6)):
+    ORACLE[_name] = on("watchlist", f"""
 SELECT subscriber_id, risk_score, risk_band, monthly_charge, tenure_months, contract_type, payment_method, is_autopay,
-  churned_flag, (SELECT count(*) FROM watchlist) AS total,
-  (SELECT greatest(1, ceil(count(*) / 6e0))::BIGINT FROM watchlist) AS total_pages
-FROM watchlist WHERE place BETWEEN 13 AND 18""")
+  churned_flag, total, greatest(1, ceil(total / 6e0))::BIGINT AS total_pages
+FROM (SELECT count(*) AS total FROM watchlist) LEFT JOIN (SELECT * FROM watchlist WHERE place > {_page} * 6 - 6 AND place <= {_page} * 6)
+  ON true""")
 ORACLE["watchlist_kpi"] = on("watchlist", f"""
 SELECT count(*) AS "count", {away(f"({msum('monthly_charge')} * 12)", 2)} AS arr,
   {away(f"({mavg('monthly_charge')} * 12)", 2)} AS avg_arr FROM watchlist""")
@@ -708,6 +709,78 @@ _split = lambda at: f"('0x' || substr(md5(subscriber_id || '|42'), {at}, 8))::BI
 ORACLE["training_split"] = on(
     "features", f"SELECT subscriber_id, {_split(1)} % 100 < 20 AS held_out, ({_split(9)} % 5)::INT AS fold, churned_flag AS label FROM features"
 )
+# The isotonic value at i is the largest, over starts j <= i, of the smallest mean of j..k over ends k >= i.
+ORACLE["calibration_curves"] = on(
+    "predictions",
+    f"""SELECT run_id, model_name, risk_score, {away('value', 9)} AS calibrated FROM (
+      SELECT e.run_id, e.model_name, e.risk_score, max(e.low) AS value FROM least_mean e GROUP BY e.run_id, e.model_name, e.risk_score)""",
+    hist=_METRIC_TABLES["hist"],
+    ranked="""SELECT *, row_number() OVER w AS i, sum(pos) OVER w AS p, sum(pos + neg) OVER w AS n FROM hist
+      WINDOW w AS (PARTITION BY run_id, model_name ORDER BY risk_score)""",
+    least_mean="""SELECT k.run_id, k.model_name, k.risk_score, min((k.p - j.p + j.pos)::DOUBLE / (k.n - j.n + j.pos + j.neg)) OVER (
+        PARTITION BY k.run_id, k.model_name, j.i ORDER BY k.i DESC) AS low
+      FROM ranked j JOIN ranked k ON j.run_id = k.run_id AND j.model_name = k.model_name AND j.i <= k.i""",
+)
+_SCALED = [
+    "tenure_months", "monthly_charge", "lifetime_billed", "services_count", "avg_monthly_spend_to_date", "price_vs_history_gap",
+]
+_LEVELS = {  # all levels of a category but the reference level
+    "gender": ["Male"], "is_senior": ["Yes"], "has_partner": ["Yes"], "has_dependents": ["Yes"], "phone_service": ["Yes"],
+    "multiple_lines": ["Yes"], "internet_service": ["Fiber optic", "No"], "online_security": ["Yes"], "online_backup": ["Yes"],
+    "device_protection": ["Yes"], "tech_support": ["Yes"], "streaming_tv": ["Yes"], "streaming_movies": ["Yes"],
+    "contract_type": ["One year", "Two year"], "paperless_billing": ["Yes"],
+    "payment_method": ["Credit card (automatic)", "Electronic check", "Mailed check"],
+}
+_PASSED = ["is_autopay", "is_new_subscriber", "fibre_without_support", "has_protection_bundle", "contract_commitment_months"]
+ORACLE["prepared_features"] = on(
+    "features",
+    "SELECT subscriber_id, "
+    + ", ".join(
+        [f"{away(f'(({c} - m_{c}) / s_{c})', 8)} AS scaled_{c}" for c in _SCALED]
+        + [f"({c} = '{v}')::INT::DOUBLE AS {c}__{i}" for c, levels in _LEVELS.items() for i, v in enumerate(levels, 1)]
+        + [f"{c}::DOUBLE AS {c}" for c in _PASSED]
+    )
+    + " FROM features, moments",
+    moments="SELECT "
+    + ", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in _SCALED)
+    + f" FROM features WHERE {_split(1)} % 100 >= 20",
+)
+
+_SCORER = ["contract_type", "payment_method", "tenure_months", "monthly_charge"]
+
+
+def _fixed_score(taken: str | None) -> str:
+    """The fixed score of a row whose column ``taken`` comes from its donor."""
+    c, p, t, m = (f"donor.{x}" if x == taken else x for x in _SCORER)
+    return (
+        f"(CASE {c} WHEN 'Month-to-month' THEN 4000 WHEN 'One year' THEN 2000 ELSE 500 END + CASE {p} WHEN 'Electronic check' "
+        f"THEN 1500 ELSE 300 END + 20 * (100 - least({t}, 100)) + floor({m} * 10)::BIGINT) / 1e4"
+    )
+
+
+_auc = away("(sum(pos * (2 * below + neg)) / (2e0 * max(np) * max(nn)))", 10)
+ORACLE["importance_of_fixed_scorer"] = on(
+    "features",
+    f"""SELECT feature, {away('avg(base.auc - a.auc)', 10)} AS importance_mean, {away('stddev_pop(base.auc - a.auc)', 10)} AS importance_std
+      FROM aucs a, (SELECT auc FROM aucs WHERE repeat = 0) base WHERE repeat > 0 GROUP BY feature
+      UNION ALL SELECT unnest({[c for c in [*_SCALED, *_LEVELS, *_PASSED] if c not in _SCORER]}), 0e0, 0e0""",
+    dealt="""SELECT f.*, repeat, md5('42|' || repeat || '|' || subscriber_id) AS o,
+      ('0x' || substr(md5('43|' || repeat || '|' || subscriber_id), 1, 8))::BIGINT
+        % (SELECT greatest(1, count(*) // 100000) FROM features) AS bucket
+      FROM features f, (SELECT unnest(range(1, 6)) AS repeat)""",
+    paired=f"""SELECT *, coalesce(lead(own) OVER w, first_value(own) OVER w) AS donor
+      FROM (SELECT *, {{{', '.join(f"'{x}': {x}" for x in _SCORER)}}} AS own FROM dealt)
+      WINDOW w AS (PARTITION BY repeat, bucket ORDER BY o, subscriber_id)""",
+    scored=" UNION ALL ".join(
+        [f"SELECT '' AS feature, 0 AS repeat, churned_flag AS label, {_fixed_score(None)} AS score FROM features"]
+        + [f"SELECT '{x}', repeat, churned_flag, {_fixed_score(x)} FROM paired" for x in _SCORER]
+    ),
+    cells="SELECT feature, repeat, score, sum(label) AS pos, sum(1 - label) AS neg FROM scored GROUP BY feature, repeat, score",
+    placed="""SELECT *, sum(pos) OVER g AS np, sum(neg) OVER g AS nn, coalesce(sum(neg) OVER (PARTITION BY feature, repeat
+      ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM cells
+      WINDOW g AS (PARTITION BY feature, repeat)""",
+    aucs=f"SELECT feature, repeat, {_auc} AS auc FROM placed GROUP BY feature, repeat",
+)
 ORACLE["class_weights"] = on(
     "features",
     "SELECT label, n_rows, n / (2e0 * n_rows) AS weight FROM sized, (SELECT sum(n_rows) AS n FROM sized)",

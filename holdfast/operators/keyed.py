@@ -10,12 +10,18 @@ from holdfast.sources.schema import CALIBRATED_MODELS, WATCHLIST_MODELS
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
-    """One row per key, chosen by a total order so that every run picks the same one.
+    """One row per key, chosen by a total order so that every run picks the same one: the given order, else the least row.
 
-    Spark limits each map task to one row per key before the exchange (WindowGroupLimit), so a key with
-    very many copies does not land whole in one task.
+    The least row is an aggregate, so rows are sorted by the key alone and compared with each other only where keys are equal.
+    With an order, Spark limits each map task to one row per key before the exchange (WindowGroupLimit). Either way a key
+    with very many copies does not land whole in one task.
     """
-    order = order or [F.col(c) for c in df.columns if c not in keys]
+    if order is None:
+        others = [c for c in df.columns if c not in keys]
+        if not others:
+            return df.distinct()
+        least = df.groupBy(*keys).agg(F.min(F.struct(*others)).alias("_least"))
+        return least.select(*[F.col(c) if c in keys else F.col(f"_least.`{c}`") for c in df.columns])
     rank = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 

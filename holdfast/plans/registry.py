@@ -95,6 +95,8 @@ QUERIES: dict[str, Query] = {
     "top_risk_preview": _on_warehouse(watchlist.top_risk_preview),
     "call_list": _on_warehouse(watchlist.call_list),
     "watchlist_page": _on_warehouse(lambda wh: watchlist.watchlist_page(wh, page=3)),
+    "watchlist_deep_page": _on_warehouse(lambda wh: watchlist.watchlist_page(wh, page=200)),
+    "watchlist_page_beyond": _on_warehouse(lambda wh: watchlist.watchlist_page(wh, page=10**6)),
     "watchlist_kpi": _on_warehouse(watchlist.watchlist_kpi),
     "watchlist_detail": _on_warehouse(lambda wh: watchlist.watchlist_detail(wh, "S1")),
     "retention_plan": _on_warehouse(watchlist.retention_plan),
@@ -116,6 +118,9 @@ QUERIES: dict[str, Query] = {
     # training: what has one right answer, then the iterative fits
     "training_split": _on_warehouse(lambda wh: training.model_rows(wh).select(KEY, "held_out", "fold", "label")),
     "class_weights": _on_warehouse(training.class_weights),
+    "calibration_curves": _on_warehouse(training.calibration_curves),
+    "prepared_features": _on_warehouse(training.prepared_features),
+    "importance_of_fixed_scorer": _on_warehouse(training.importance_of_fixed_scorer),
     "trained_models": _on_warehouse(training.trained_runs),
     "train_and_score": _on_warehouse(training.train_and_score),
     "feature_importance": _on_warehouse(training.feature_importance),

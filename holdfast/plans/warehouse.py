@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -24,6 +25,7 @@ from holdfast.sources import fixture
 from holdfast.sources.schema import PREDICTION_KEY, STAR
 
 KEY = "subscriber_id"
+_DERIVED: dict[str, dict[str, str]] = {}  # derived tables of each warehouse, by name
 TABLES = [*STAR, "fact_prediction", "model_run"]
 
 
@@ -66,12 +68,30 @@ class Warehouse:
             scores = scores.filter((F.col("risk_score") < score) | ((F.col("risk_score") == score) & (F.col(KEY) > key)))
         if top is not None:
             scores = scores.orderBy(F.desc("risk_score"), KEY).offset(skip).limit(top)
+        return self.with_profile(scores)
+
+    def with_profile(self, scores: DataFrame) -> DataFrame:
+        """Predictions with the profile columns of the call list."""
         profile = self.star("dim_subscriber", "dim_contract", "fact_billing", "fact_attrition_label")
         return scores.join(profile, KEY).select(
             KEY, "model_name", "risk_score", "risk_band", "predicted_flag", "tenure_months", "tenure_band",
             "is_senior", "contract_type", "payment_method", "is_autopay", "monthly_charge", "churned_flag",
         )
 
+    def derived(self, name: str, plan: Callable[[], DataFrame], partition_by: str) -> DataFrame:
+        """A table computed from the stored ones and written on first use. New predictions or runs make it be computed
+        anew; the earlier table stays, since plans that were made before may still read it."""
+        known = _DERIVED.setdefault(self.namespace, {})
+        if name not in known:
+            table = f"{self.namespace}.{name}_{uuid.uuid4().hex[:8]}"
+            plan().write.partitionBy(partition_by).saveAsTable(table)
+            known[name] = table
+        return self.spark.table(known[name])
+
+    def changed(self) -> None:
+        """Forget the derived tables, after predictions or the registry were written."""
+        _DERIVED.pop(self.namespace, None)
+
     def n_buckets(self, name: str) -> int:
         """Buckets that a stored table was built with, whatever the session's shuffle width is now."""
         told = self.spark.sql(f"DESCRIBE EXTENDED {self.namespace}.{name}")
@@ -117,6 +137,7 @@ class Warehouse:
         staged = own.table(stage).repartition(self.n_buckets("fact_prediction"), KEY).select(*stored.columns)
         staged.write.mode("overwrite").insertInto(f"{self.namespace}.fact_prediction")
         self.spark.catalog.refreshTable(f"{self.namespace}.fact_prediction")
+        self.changed()
         self.spark.sql(f"DROP TABLE IF EXISTS {stage}")
 
 

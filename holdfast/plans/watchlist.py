@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from holdfast.functions.rounding import half_away, half_even, money_avg, money_sum, ratio
@@ -33,20 +34,54 @@ def top_risk_preview(wh: Warehouse, top: int = 3) -> DataFrame:
     )
 
 
+def ranked_scores(wh: Warehouse) -> DataFrame:
+    """Scores of the preferred run, stored in slices by rank: every row of a slice ranks before those of the next one. Ties
+    are parted by the id, so a score that very many rows share does not stay in one slice."""
+
+    def plan() -> DataFrame:
+        n = int(wh.spark.conf.get("spark.sql.shuffle.partitions"))
+        sliced = wh.watchlist_scores().repartitionByRange(n, F.desc("risk_score"), KEY)
+        return sliced.withColumn("slice", F.spark_partition_id())
+
+    return wh.derived("ranked_scores", plan, "slice")
+
+
+def rank_directory(wh: Warehouse) -> DataFrame:
+    """Per slice of the ranked scores its rows and the rank of its first one, counted from 0."""
+
+    def plan() -> DataFrame:
+        before = W.orderBy("slice").rowsBetween(W.unboundedPreceding, -1)  # one row per slice
+        sizes = ranked_scores(wh).groupBy("slice").agg(F.count("*").alias("n_rows"))
+        first = F.coalesce(F.sum("n_rows").over(before), F.lit(0)).alias("first_rank")
+        return sizes.select("n_rows", first, F.col("slice").alias("rank_slice"), F.lit(0).alias("part"))
+
+    return wh.derived("rank_directory", plan, "part")
+
+
+def _ranks(wh: Warehouse, start: int, n: int) -> DataFrame:
+    """Rows of ranks ``start`` to ``start + n - 1``, from the slices that hold them."""
+    hit = (F.col("first_rank") < start + n) & (F.col("first_rank") + F.col("n_rows") > start)
+    found = rank_directory(wh).filter(hit).select("rank_slice", "first_rank").collect()  # slices of one page
+    first = min((r.first_rank for r in found), default=0)
+    rows = ranked_scores(wh).filter(F.col("slice").isin([r.rank_slice for r in found])).drop("slice")
+    return rows.orderBy(F.desc("risk_score"), KEY).offset(start - first if found else 0).limit(n)
+
+
 def watchlist_page(
     wh: Warehouse, page: int = 1, per_page: int = 6, after: tuple[float, str] | None = None
 ) -> DataFrame:
     """One page of the ranked watchlist with the total and the number of pages.
 
-    With ``after``, the score and id of the last row seen, the page starts behind that row, which costs the same
-    at any depth; a page number has to pick all rows of the pages before. A page without rows is one row that
-    holds the totals alone.
+    A page number reads only the slices of the ranked scores that the rank directory names for it, so it costs the same at any
+    depth. With ``after``, the score and id of the last row seen, the page starts behind that row and needs no ranking.
+    A page without rows is one row that holds the totals alone.
     """
     if after is None:
-        rows = call_list(wh, per_page, (page - 1) * per_page)
+        totals = rank_directory(wh).agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("total"))
+        rows = wh.with_profile(_ranks(wh, (page - 1) * per_page, per_page))
     else:
+        totals = wh.watchlist_scores().agg(F.count("*").alias("total"))
         rows = wh.scored_watchlist(per_page, after=after)
-    totals = wh.watchlist_scores().agg(F.count("*").alias("total"))
     pages = F.greatest(F.lit(1), F.ceil(F.col("total") / per_page)).cast("bigint")
     on_page = rows.select(*ROW_COLUMNS).withColumn("total", totals.scalar())
     return (

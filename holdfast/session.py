@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "holdfast") -> SparkSession:
@@ -38,3 +39,11 @@ def shared_dir(spark: SparkSession) -> str:
     fresh = tempfile.mkdtemp(prefix="holdfast-")
     context.setCheckpointDir(fresh)
     return fresh
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once below the shared folder and read it back, for steps that read it more than once."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/steps/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from holdfast.operators.keyed import latest_calibrated_run, of_run, preferred_run
-from holdfast.plans import reports, watchlist
+from holdfast.plans import metrics, reports, watchlist
 from holdfast.plans.registry import QUERIES, run_query
 from holdfast.plans.warehouse import Warehouse, build, open_warehouse
 from holdfast.sources import fixture, sinks, tables
@@ -161,3 +161,28 @@ def test_stored_upsert_rewrites_only_its_run(spark, wh):
     assert stored.filter("run_id = 'r2' AND subscriber_id = 'S1'").first().risk_score == 0.5
     assert stored.filter("run_id = 'r2'").count() == 150
     assert isinstance(open_warehouse(spark, SMALL), Warehouse)
+
+
+def test_metrics_and_thresholds_read_the_stored_histogram_only(wh):
+    for query in (metrics.classification_metrics, metrics.optimal_threshold):
+        text = plan(query(wh))
+        assert "fact_prediction" not in text and "fact_billing" not in text and "score_histogram" in text
+
+
+def test_a_page_reads_the_slices_of_its_ranks(wh):
+    ranked = {r.slice: r.n for r in watchlist.ranked_scores(wh).groupBy("slice").agg(F.count("*").alias("n")).collect()}
+    assert sum(ranked.values()) == 150 and len(ranked) > 1
+    for start in (0, 70, 148):
+        rows = watchlist._ranks(wh, start, 2)
+        assert rows.count() == 2 and len(rows.inputFiles()) <= 2
+        assert "PartitionFilters" in plan(rows) and "fact_prediction" not in plan(rows)
+
+
+def test_derived_tables_follow_new_predictions(spark, wh):
+    features = spark.table(f"{wh.namespace}.features").limit(9)
+    own = build(spark, features, fixture.predictions, fixture.registry(spark), "holdfast_derived")
+    before = watchlist.watchlist_page(own).first()
+    own.upsert_predictions(own.table("fact_prediction").withColumn("risk_score", 1 - F.col("risk_score")))
+    after = watchlist.watchlist_page(own).first()
+    lowest = own.watchlist_scores().agg(F.max("risk_score")).first()[0]
+    assert after.risk_score == lowest and after.subscriber_id != before.subscriber_id

@@ -9,6 +9,7 @@ from holdfast.operators.quality import (
     assert_constraints, constraint_violations, unexpected_values, validation_document, validation_report,
 )
 from holdfast.plans.warehouse import TABLES
+from holdfast.sources.fixture import faulty_star
 
 
 def _with(raw, **changes):
@@ -140,18 +141,13 @@ def test_malformed_csv_rows_are_counted(spark, raw, tmp_path):
 
 
 def test_every_rule_kind_is_broken_by_the_faulty_star(wh):
-    from holdfast.plans.warehouse import TABLES
-    from holdfast.sources.fixture import faulty_star
-
     rows = constraint_violations(faulty_star({name: wh.table(name) for name in TABLES})).collect()
     broken = {(r.table_name, r.rule_kind) for r in rows if r.violations > 0}
     assert {kind for _, kind in broken} == {"not_null", "enum", "code", "range", "primary_key", "foreign_key"}
     assert {("dim_contract", "foreign_key"), ("dim_subscriber", "primary_key"), ("fact_prediction", "range")} <= broken
 
 
-def test_a_null_key_breaks_only_its_not_null_rule(spark, wh):
-    from holdfast.plans.warehouse import TABLES
-
+def test_a_null_key_breaks_only_its_not_null_rule(wh):
     tables = {name: wh.table(name) for name in TABLES}
     blank = tables["dim_contract"].withColumn("subscriber_id", F.lit(None).cast("string"))
     rows = constraint_violations({**tables, "dim_contract": blank}).filter("table_name = 'dim_contract'").collect()

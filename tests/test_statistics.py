@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from holdfast.functions.tails import chi2_tail, student_two_sided
 from holdfast.operators.prefix import running_totals
 from holdfast.plans.contingency import chi_square
-from holdfast.plans.metrics import ranking_metrics
+from holdfast.plans.metrics import ranking_metrics, score_histogram
 from holdfast.plans.numeric import poisson_thresholds, resample_totals, two_group_figures
 from holdfast.plans.survival import curves
 
@@ -86,7 +86,8 @@ def test_running_totals_equal_brute_force(spark, partitions):
 def test_auc_and_average_precision_with_ties(spark):
     rng = random.Random(5)
     rows = [("m", rng.randint(0, 20) / 20, int(rng.random() < 0.4)) for _ in range(400)]
-    got = ranking_metrics(spark.createDataFrame(rows, "g string, risk_score double, label int"), ["g"]).first()
+    scored = spark.createDataFrame(rows, "g string, risk_score double, label int")
+    got = ranking_metrics(score_histogram(scored, ["g"]), ["g"]).first()
     pos = [s for _, s, y in rows if y]
     neg = [s for _, s, y in rows if not y]
     auc = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
@@ -101,7 +102,8 @@ def test_auc_and_average_precision_with_ties(spark):
 
 def test_one_class_has_no_auc(spark):
     rows = [("m", 0.1, 1), ("m", 0.2, 1)]
-    got = ranking_metrics(spark.createDataFrame(rows, "g string, risk_score double, label int"), ["g"]).first()
+    scored = spark.createDataFrame(rows, "g string, risk_score double, label int")
+    got = ranking_metrics(score_histogram(scored, ["g"]), ["g"]).first()
     assert got.roc_auc is None
 
 
