@@ -1,8 +1,9 @@
 """Benchmark decontamination by SimHash windows of the size of an item.
 
 A document leaks an item if one of its windows of as many words as the item has is similar to it: weighted Jaccard
-similarity of the five-word shingles (weight: how often a shingle occurs) of ``SIMILARITY`` or more. Words are runs of
-letters, digits and underscores in lower case, so case, punctuation and line breaks don't matter.
+similarity of the five-word shingles (weight: how often a shingle occurs) of ``SIMILARITY`` or more. A document of fewer
+words than the item is one window. Words are runs of letters, digits and underscores in lower case, so case, punctuation
+and line breaks don't matter.
 
 Method, in three steps per block of items:
 
@@ -17,7 +18,8 @@ The benchmark is cut in blocks of at most ``BLOCK_CHARS`` characters of text (lo
 block is broadcast and compared with all documents in one pass, so what is broadcast is bounded whatever the benchmark's
 size. A text is one row, so no document group meets in one task.
 
-Defined results: items with null text or without words leak nowhere; an item of fewer than five words is one shingle. Null
+Defined results: items with null text or without words leak nowhere; an item of fewer than five words is one shingle, which
+leaks where the same words follow each other; a document of fewer than five words leaks such items only. Null
 or empty documents leak nothing. Repeated rows give repeated results; other columns are ignored. Empty tables give an empty
 result.
 """
@@ -42,6 +44,7 @@ RADIUS = 20
 BLOCK_CHARS = 2_000_000
 _WORD = re.compile(r"\w+")
 _ROUND = 20_000  # windows whose fingerprints are made at once
+_PAIRS = 1_000_000  # candidate pairs of a lookup in one block at most
 
 
 def words_of(text: str | None) -> list[str]:
@@ -77,7 +80,8 @@ def similarity(a: Counter, b: Counter) -> float:
 
 
 class MultiIndex:
-    """All values within a Hamming radius of a query, by lookups of blocks of bits."""
+    """All values within a Hamming radius of queries, by lookups of blocks of bits. Each value is filed, per block, under every
+    block value within two bits of its own, so a query is looked up once a block."""
 
     def __init__(self, values: list[int], radius: int):
         self.values, self.radius = np.array(values, np.uint64), radius
@@ -85,20 +89,30 @@ class MultiIndex:
         edges = np.linspace(0, 64, blocks + 1).astype(int)
         self.blocks = []
         for shift, width in ((int(a), int(b - a)) for a, b in zip(edges, edges[1:])):
-            table: dict[int, list[int]] = defaultdict(list)
-            for n, v in enumerate(values):
-                table[(v >> shift) & ((1 << width) - 1)].append(n)
+            mask = np.uint64((1 << width) - 1)
             flips = [0, *(1 << i for i in range(width)), *((1 << i) | (1 << j) for i, j in combinations(range(width), 2))]
-            self.blocks.append((shift, (1 << width) - 1, flips, dict(table)))
-
-    def search(self, query: int) -> np.ndarray:
-        found: list[int] = []
-        for shift, mask, flips, table in self.blocks:
-            part = (query >> shift) & mask
-            for flip in flips:
-                found += table.get(part ^ flip, ())
-        near = np.unique(np.array(found, np.int64))
-        return near[np.bitwise_count(self.values[near] ^ np.uint64(query)) <= self.radius]
+            keys = (((self.values >> np.uint64(shift)) & mask)[:, None] ^ np.array(flips, np.uint64)).reshape(-1)
+            order = np.argsort(keys, kind="stable")
+            self.blocks.append((np.uint64(shift), mask, keys[order], order // len(flips)))
+
+    def search(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place of the query, place of the value) of all pairs within the radius, in this order."""
+        step = max(1, _PAIRS // max(1, len(self.values)))
+        found = [self._near(queries[lo : lo + step], lo) for lo in range(0, len(queries), step)]
+        pairs = np.concatenate([np.empty(0, np.int64), *found])
+        return pairs // max(1, len(self.values)), pairs % max(1, len(self.values))
+
+    def _near(self, queries: np.ndarray, first: int) -> np.ndarray:
+        pairs = []
+        for shift, mask, keys, owners in self.blocks:
+            part = (queries >> shift) & mask
+            lo = np.searchsorted(keys, part, "left")
+            n = np.searchsorted(keys, part, "right") - lo
+            query = np.repeat(np.arange(len(queries)), n)
+            value = owners[np.arange(len(query)) + np.repeat(lo - np.cumsum(n) + n, n)]
+            near = np.bitwise_count(queries[query] ^ self.values[value]) <= self.radius
+            pairs.append((query[near] + first) * len(self.values) + value[near])
+        return np.unique(np.concatenate(pairs))
 
 
 class Items:
@@ -114,15 +128,16 @@ class Items:
         by_length = defaultdict(list)
         for n, (_, w) in enumerate(ready):
             by_length[len(w)].append(n)
-        self.lengths = {k: (np.array(ns), MultiIndex([prints[n] for n in ns], radius)) for k, ns in sorted(by_length.items())}
+        self.lengths = {k: (ns, MultiIndex([prints[n] for n in ns], radius)) for k, ns in sorted(by_length.items())}
 
     def _windows(self, hits: np.ndarray, n_words: int, length: int) -> np.ndarray:
         """Starts of the windows of ``length`` words with enough shingles of items to be similar to one."""
-        size = max(1, length - SIZE + 1)
-        if n_words < length or (length < SIZE and n_words != length):
+        mine = length - SIZE + 1
+        size = min(mine, len(hits))
+        if n_words < SIZE or size < self.least * mine:
             return np.empty(0, np.int64)
-        # similarity >= s needs 2 s / (1 + s) of the shingles of two windows of one size in common
-        need = max(1, int(np.ceil(2 * self.least / (1 + self.least) * size - 1e-9)))
+        # similarity >= s needs s / (1 + s) of the shingles of both windows in common
+        need = max(1, int(np.ceil(self.least / (1 + self.least) * (size + mine) - 1e-9)))
         total = np.concatenate([[0], np.cumsum(hits)])
         return np.flatnonzero(total[size:] - total[:-size] >= need)
 
@@ -134,16 +149,16 @@ class Items:
         hashes = shingles_of(words)
         at = np.searchsorted(self.known, hashes).clip(max=len(self.known) - 1)
         hits = self.known[at] == hashes
-        short = min(self.lengths) < SIZE and len(words) >= SIZE
+        short = min(self.lengths) < min(SIZE, len(words) + 1)
         if not hits.any() and not short:
             return []
         best: dict[int, tuple[float, int]] = {}
         for length, (items, index) in self.lengths.items():
-            if length < SIZE <= len(words):  # an item of fewer words is one shingle of its own size
+            if length < SIZE:  # an item of fewer words is one shingle of its own size
                 for n, s in self._short(words, length, items):
                     best.setdefault(n, (1.0, s))
                 continue
-            size = max(1, length - SIZE + 1)
+            size = min(length - SIZE + 1, len(hashes))
             starts = self._windows(hits, len(words), length)
             for lo in range(0, len(starts), _ROUND):
                 part = starts[lo : lo + _ROUND]
@@ -154,22 +169,22 @@ class Items:
                     prints = _packed(sums[part - first + size] - sums[part - first])
                 else:
                     prints = np.concatenate([_packed(_signs(hashes[s : s + size]).sum(axis=0, keepdims=True)) for s in part])
-                for start, fp in zip(part.tolist(), prints.tolist()):
-                    near = index.search(fp)
-                    if len(near):
+                at, window = -1, Counter()
+                for place, n in zip(*(x.tolist() for x in index.search(prints))):
+                    if place != at:
+                        at, start = place, int(part[place])
                         window = Counter(hashes[start : start + size].tolist())
-                        for n in items[near].tolist():
-                            alike = similarity(window, self.counts[n])
-                            if alike >= self.least and alike > best.get(n, (0.0, 0))[0]:
-                                best[n] = (alike, start)
+                    alike = similarity(window, self.counts[items[n]])
+                    if alike >= self.least and alike > best.get(items[n], (0.0, 0))[0]:
+                        best[items[n]] = (alike, start)
         return [(self.ids[n], start, alike) for n, (alike, start) in sorted(best.items())]
 
-    def _short(self, words: list[str], length: int, items: np.ndarray) -> Iterator[tuple[int, int]]:
-        wanted = {next(iter(self.counts[n])): n for n in reversed(items.tolist())}
+    def _short(self, words: list[str], length: int, items: list[int]) -> Iterator[tuple[int, int]]:
+        wanted = {next(iter(self.counts[n])) for n in items}
         for start in range(len(words) - length + 1):
             h = int(shingles_of(words[start : start + length])[0])
             if h in wanted:
-                for n in items.tolist():
+                for n in items:
                     if h in self.counts[n]:
                         yield n, start
 

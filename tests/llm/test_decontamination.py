@@ -21,7 +21,7 @@ def brute(text, items):
             places = [k for k in range(len(words) - len(w) + 1) if words[k : k + len(w)] == w]
             best = (1.0, places[0]) if places else best
         else:
-            for k in range(len(words) - len(w) + 1):
+            for k in range(max(1, len(words) - len(w) + 1) if len(words) >= 5 else 0):
                 there = gram_counts(words[k : k + len(w)])
                 common = sum((there & mine).values())
                 alike = common / sum((there | mine).values())
@@ -70,7 +70,30 @@ def test_index_finds_everything_within_the_radius():
         for bit in rng.choice(64, rng.integers(0, 26), replace=False):
             q ^= 1 << int(bit)
         want = [k for k, v in enumerate(values) if bin(int(v) ^ q).count("1") <= 20]
-        assert index.search(q).tolist() == want
+        places, found = index.search(np.array([q, int(values[0])], np.uint64))
+        assert found[places == 0].tolist() == want and 0 in found[places == 1]
+
+
+def test_lookups_in_parts_find_the_same(monkeypatch):
+    rng = np.random.default_rng(4)
+    values = rng.integers(0, 2**20, 50, dtype=np.uint64)
+    queries = rng.integers(0, 2**20, 300, dtype=np.uint64)
+    index = dc.MultiIndex([int(v) for v in values], 6)
+    whole = [x.tolist() for x in index.search(queries)]
+    monkeypatch.setattr(dc, "_PAIRS", 120)
+    assert [x.tolist() for x in index.search(queries)] == whole and len(whole[0]) > 50
+    assert [x.tolist() for x in index.search(queries[:0])] == [[], []]
+
+
+def test_documents_shorter_than_the_item():
+    words = [f"w{k}" for k in range(30)]
+    block = dc.Items([(1, " ".join(words)), (2, "one two three")])
+    assert [(i, s, round(a, 3)) for i, s, a in block.leaks(" ".join(words[:28]))] == [(1, 0, round(24 / 26, 3))]
+    assert [i for i, _, _ in block.leaks(" ".join(words[3:29]))] == [1]
+    assert block.leaks(" ".join(words[:24])) == []  # 20 of 26 shingles
+    assert [(i, s) for i, s, _ in block.leaks("zero one two three")] == [(2, 1)]
+    assert [(i, s) for i, s, _ in block.leaks("one two three")] == [(2, 0)]
+    assert block.leaks("one two") == [] == block.leaks("w0")
 
 
 def test_long_text_and_rounds(monkeypatch):
