@@ -166,7 +166,9 @@ def labelled(stats: DataFrame, labels: DataFrame, most: int = SAMPLE) -> DataFra
 
 
 def fit(rows: DataFrame) -> RuleModel:
-    """Rules and weights from rows of statistics and label."""
+    """Rules and weights from rows of statistics and label, a bounded sample. The rows are put in order in one partition, because
+    bagging draws per partition: the same rows give the same model, however they are stored."""
+    rows = rows.repartition(1).sortWithinPartitions(*STATISTICS, "label")
     counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if len(counts) < 2:
         n = sum(counts.values())

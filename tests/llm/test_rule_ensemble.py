@@ -76,3 +76,10 @@ def test_odd_rows(spark):
     ones = labels.where("quality = 1 and doc_id <> 3")
     assert re_.quality_scores(docs, ones).where("score <= 0.5").count() == 0
     assert re_.quality_scores(docs.limit(0), labels).count() == 0
+
+
+def test_the_model_does_not_depend_on_the_partitioning(spark):
+    docs, labels = (table(spark, "/root/testdata/sf0.001", t) for t in ("documents", "labels"))
+    rows = re_.labelled(re_.measured(docs), labels).persist()
+    models = [re_.fit(x) for x in (rows.orderBy("label").coalesce(1), rows.repartition(7))]
+    assert models[0] == models[1] and models[0].rules
