@@ -77,7 +77,8 @@ class TrieBPE:
         self.merge = {}
         for rank, (a, b) in enumerate(merges):
             self.merge.setdefault((model["vocab"][a], model["vocab"][b]), (rank, model["vocab"][a + b]))
-        self.endings = {t[k:] for t in self.number for k in range(len(t))}
+        # every string that ends a token, with its own number as a token, or -1
+        self.endings = {t[k:]: self.number.get(t[k:], -1) for t in self.number for k in range(len(t))}
         self.split = regex.compile(PATTERN)
         self.parts = regex.compile("|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True))) if self.special else None
         self.broad = regex.compile(r"\s ")
@@ -158,7 +159,7 @@ class TrieBPE:
         last = [-1]  # the last token of each prefix on the stack
         length = [0]
         previous = b""
-        number, endings, known = self.number, self.endings, self.words.young
+        ending, stable, known = self.endings.get, self.pairs.get, self.words.young
         for word in sorted(words):
             shared = 0
             for a, b in zip(previous, word):
@@ -169,13 +170,15 @@ class TrieBPE:
             for end in range(shared + 1, len(word) + 1):
                 fitting = []
                 for start in range(end - 1, -1, -1):
-                    piece = word[start:end]
-                    if piece not in endings:
+                    t = ending(word[start:end])
+                    if t is None:
                         break
-                    if piece in number:
-                        fitting.append((number[piece], start))
+                    if t >= 0:
+                        fitting.append((t, start))
                 for t, start in reversed(fitting):
-                    if self._stable(last[start], t):
+                    before = last[start]
+                    fits = stable((before << 32) + t)
+                    if self._stable(before, t) if fits is None else fits:
                         last.append(t)
                         length.append(end - start)
                         break
