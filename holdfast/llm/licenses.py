@@ -2,13 +2,17 @@
 
 Method. Every line of every whole text is a paragraph; one of more than ``LONG`` words is read in windows of ``LONG`` words that
 overlap by half, so a notice inside it is not diluted. A multinomial logistic regression with a lasso penalty on word n-grams (one
-to three words) gives the probability of each licence family and of the class "unknown". It is trained on notices made from the
-families' names, forms of words and standard sentences, and on at most ``NEGATIVES`` paragraphs of the corpus (those with the lowest
-hashes that resemble no template) as unknown. The probability of any licence is calibrated on rows that training has not seen.
-A prediction is confirmed if the paragraph covers enough of the word pairs of one of its family's templates.
-
-Only n-grams with a weight matter, and they are few; a paragraph without any has the score of an empty one, which is unknown, so
-it is left out without being scored. All paragraphs are looked at.
+to three words) gives the probability of each licence family, of ``OTHER`` (a licence of no family that the model knows) and of
+``UNKNOWN`` (no licence). It is trained on notices made from the families' names, forms of words and standard sentences, on the same
+forms around made-up names, and on at most ``NEGATIVES`` paragraphs of the corpus (those with the lowest hashes that resemble no
+template). Two curves are calibrated on forms and names that training has not seen: the probability of any licence, and the
+probability that the best family is the right one. A family whose own probability is below ``FLOOR`` is reported as ``OTHER``.
+A family is confirmed if the paragraph holds a name of it in full, or covers enough of the word pairs of one of its templates
+and the family's name wherever that template has it. ``OTHER`` is never confirmed.
+
+Only n-grams with a weight matter. ``LicenceModel.triggers`` are words without which no paragraph can be a licence: the weights that
+speak for a licence in all n-grams free of them do not outweigh the intercept, however often these words meet. Paragraphs without a trigger
+are not scored, which loses nothing. All paragraphs are looked at.
 
 Defined results: null and empty texts have no licence. Repeated rows give repeated results; a document gives a row per paragraph
 that names a licence, so one document may give several. Other columns are ignored. If the corpus is empty the model is trained on
@@ -19,7 +23,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +37,8 @@ LONG = 40
 NEGATIVES = 3000
 PENALTY = 0.001
 CONFIRMED = 0.6  # share of a template's word pairs
+FLOOR = 0.5  # probability of the family itself
+OTHER = "other"
 UNKNOWN = "unknown"
 
 # Names, usual forms of notices and standard sentences of public licences.
@@ -79,6 +85,12 @@ SENTENCES = {
     "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"],
     "EPL": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License"],
 }
+#: Shapes of the names of licences; made-up words, initials and numbers fill them.
+SHAPES = [
+    "{w} License", "{w} Licence", "{w} Public License", "{w} {v} License", "{w} Software License, Version {n}.{m}", "{w} {v} License, Version {n}.{m}",
+    "{w} Open License {n}.{m}", "{w} Commercial License", "{w} {v} Public License {n}.{m}", "{w} General License", "{i}", "{i} License", "{i}-{n}.{m}", "{i} {n}.{m}",
+    "{i}v{n}", "terms of the {w} {v} License", "{w} Community License Agreement", "{w} Free Documentation License", "{w} {v} International License",
+]
 #: Sentences with the words of licences that are none.
 OTHERS = [
     "All rights reserved.", "Her driving license expired in May.", "The committee granted permission to use the hall.", "Apache helicopters flew over the valley.",
@@ -115,75 +127,125 @@ def _pairs(text: str) -> frozenset[tuple[str, str]]:
     return frozenset(zip(words, words[1:]))
 
 
+def _holds(words: list[str], name: list[str]) -> bool:
+    """Whether the words of ``name`` follow each other in ``words``."""
+    n = len(name)
+    return any(words[k : k + n] == name for k in range(len(words) - n + 1))
+
+
 class Confirmer:
-    """Cover of a family's templates: names in full, or standard sentences. A name of one word counts with a form of words."""
+    """Compares paragraphs with the templates of a family.
+
+    A name of several words confirms by itself, in full. A form of words around a name of one word, or a standard sentence,
+    confirms if enough of its word pairs are covered; a name of the family that it has must then be in the paragraph too."""
 
     def __init__(self):
-        self.pairs = {}
+        self.names: dict[str, list[list[str]]] = {}
+        self.templates: dict[str, list[tuple[frozenset, list[list[str]]]]] = {}
         for family, names in NAMES.items():
-            texts = [n for n in names if len(words_of(n)) > 1] + [f.format(n) for n in names if len(words_of(n)) == 1 for f in FORMS]
-            self.pairs[family] = [p for t in texts + SENTENCES.get(family, []) if (p := _pairs(t))]
+            split = [words_of(n) for n in names]
+            single = [n for n in names if len(words_of(n)) == 1]
+            texts = [form.format(n) for n in single for form in FORMS] + SENTENCES.get(family, [])
+            self.names[family] = [n for n in split if len(n) > 1]
+            self.templates[family] = [(p, [n for n in split if _holds(words_of(t), n)]) for t in texts if (p := _pairs(t))]
 
     def cover(self, family: str, text: str) -> float:
-        mine = _pairs(text)
-        return max((len(p & mine) / len(p) for p in self.pairs[family]), default=0.0)
+        return self.compare(family, words_of(text))[0]
+
+    def compare(self, family: str, words: list[str]) -> tuple[float, bool]:
+        """Share of the best template's word pairs that the paragraph covers, and whether it confirms the family."""
+        if any(_holds(words, name) for name in self.names.get(family, ())):
+            return 1.0, True
+        mine = frozenset(zip(words, words[1:]))
+        best, confirmed = 0.0, False
+        for pairs, names in self.templates.get(family, ()):
+            share = len(pairs & mine) / len(pairs)
+            best = max(best, share)
+            # a name of one word counts where a pair of the template has it, not anywhere in the paragraph
+            named = not names or any(_holds(words, n) if len(n) > 1 else any(n[0] in p for p in pairs & mine) for n in names)
+            confirmed |= share >= CONFIRMED and named
+        return best, confirmed
 
 
 @dataclass
 class LicenceModel:
-    families: list[str]  # the last is UNKNOWN
+    families: list[str]  # the last two are OTHER and UNKNOWN
     known: np.ndarray  # sorted n-gram hashes with a weight
     weights: np.ndarray  # n-gram x family
     intercepts: np.ndarray
     calibration: tuple[float, float]  # slope and offset on the log odds of any licence
+    own: tuple[float, float] = (1.0, 0.0)  # the same on the log odds of the best family among licences
+    triggers: frozenset[str] = field(default_factory=frozenset)  # every licence has one of these words
 
     def judge(self, words: list[str]) -> tuple[str, float]:
-        """Family and calibrated probability of the most likely licence; UNKNOWN if no licence is more likely than one."""
-        hashes, _ = grams_of(words)
-        return self._judged(hashes)
-
-    def _judged(self, hashes: np.ndarray) -> tuple[str, float]:
-        hashes = np.unique(hashes)
-        at = np.searchsorted(self.known, hashes).clip(max=max(0, len(self.known) - 1))
-        at = at[self.known[at] == hashes] if len(self.known) else at[:0]
+        """Family and its calibrated probability (for OTHER and UNKNOWN, of any licence)."""
+        some, best, own = self.odds(np.unique(grams_of(words)[0]))
+        some = _curve(self.calibration, some)
+        if some <= 0.5:
+            return UNKNOWN, some
+        p = some * _curve(self.own, own)
+        if self.families[best] == OTHER or p < FLOOR:
+            return OTHER, some
+        return self.families[best], p
+
+    def odds(self, grams: np.ndarray) -> tuple[float, int, float]:
+        """Log odds of any licence, the best licence class, and its log odds among the licences."""
+        at = np.searchsorted(self.known, grams).clip(max=max(0, len(self.known) - 1))
+        at = at[self.known[at] == grams] if len(self.known) else at[:0]
         z = self.intercepts + self.weights[at].sum(axis=0)
-        p = np.exp(z - z.max())
-        p /= p.sum()
-        some = min(max(1 - p[-1], 1e-9), 1 - 1e-9)
-        slope, offset = self.calibration
-        some = 1 / (1 + np.exp(-(slope * np.log(some / (1 - some)) + offset)))
-        best = int(p[:-1].argmax())
-        return (self.families[best] if some > 0.5 else UNKNOWN), float(some * p[best] / max(p[:-1].sum(), 1e-12))
+        best = int(z[:-1].argmax())
+        rest = np.delete(z[:-1], best)
+        return float(_log_sum(z[:-1]) - z[-1]), best, float(z[best] - _log_sum(rest))
 
     def scan(self, text: str, confirmer: Confirmer) -> list[tuple[int, str, float, float, bool]]:
         """(paragraph, family, probability, cover, confirmed) of the paragraphs that name a licence; the best window of each."""
+        if self.triggers.isdisjoint(words_of(text)):
+            return []
         found = []
         for number, paragraph in enumerate(text.split("\n")):
             words = words_of(paragraph)
-            hashes, starts = grams_of(words)
-            if not len(hashes):
-                continue
-            at = np.searchsorted(self.known, hashes).clip(max=max(0, len(self.known) - 1))
-            hit = self.known[at] == hashes if len(self.known) else np.zeros(len(hashes), bool)
-            if not hit.any():
+            if self.triggers.isdisjoint(words):
                 continue
             best = None
             step = LONG // 2
             first = range(0, max(1, len(words) - step), step) if len(words) > LONG else [0]
-            places = starts[hit]
             for lo in first:
-                hi = lo + LONG if len(words) > LONG else len(words)
-                if not ((places >= lo) & (places < hi)).any():
+                part = words[lo : lo + LONG]
+                if self.triggers.isdisjoint(part):
                     continue
-                part = words[lo:hi]
                 family, p = self.judge(part)
                 if family != UNKNOWN:
-                    cover = confirmer.cover(family, " ".join(part))
-                    best = max(best or (False, 0.0, ""), (cover >= CONFIRMED, p, family, cover))
+                    cover, confirmed = confirmer.compare(family, part)
+                    best = max(best or (False, False, 0.0, "", 0.0), (confirmed, family != OTHER, p, family, cover))
             if best:
-                found.append((number, best[2], best[1], best[3], best[0]))
+                found.append((number, best[3], best[2], best[4], best[0]))
         return found
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Write the model as two Parquet tables, n-grams with weights and the rest."""
+        grams = [(int(g), w.tolist()) for g, w in zip(self.known.view(np.int64), self.weights)]
+        spark.createDataFrame(grams, "gram long, weights array<double>").coalesce(1).write.parquet(f"{path}/grams")
+        rest = [(self.families, self.intercepts.tolist(), list(self.calibration), list(self.own), sorted(self.triggers))]
+        schema = "families array<string>, intercepts array<double>, calibration array<double>, own array<double>, triggers array<string>"
+        spark.createDataFrame(rest, schema).coalesce(1).write.parquet(f"{path}/model")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> LicenceModel:
+        m = spark.read.parquet(f"{path}/model").first()
+        rows = spark.read.parquet(f"{path}/grams").collect()
+        known = np.array([r.gram for r in rows], np.int64).view(np.uint64)
+        weights = np.array([r.weights for r in rows]).reshape(len(rows), len(m.families))
+        order = np.argsort(known)
+        return LicenceModel(m.families, known[order], weights[order], np.array(m.intercepts), tuple(m.calibration), tuple(m.own), frozenset(m.triggers))
+
+
+def _log_sum(z: np.ndarray) -> float:
+    return float(z.max() + np.log(np.exp(z - z.max()).sum()))
+
+
+def _curve(line: tuple[float, float], log_odds: float) -> float:
+    return float(1 / (1 + np.exp(-np.clip(line[0] * log_odds + line[1], -500, 500))))
+
 
 def negatives(docs: DataFrame, most: int = NEGATIVES) -> list[str]:
     """At most ``most`` distinct paragraphs of the corpus, those with the lowest hashes, cut to ``LONG`` words."""
@@ -191,8 +253,9 @@ def negatives(docs: DataFrame, most: int = NEGATIVES) -> list[str]:
     keyed = lines.select(F.xxhash64("line").alias("h"), "line")
     different = keyed.agg(F.approx_count_distinct("h")).first()[0]
     lowest = int(-(2**63) + 2**64 * min(1.0, 2 * most / max(1, different))) - 1  # about twice as many as are needed
-    chosen = keyed.where(F.col("h") <= lowest).groupBy("h").agg(F.min(F.substring("line", 1, 600)).alias("line")).orderBy("h").limit(most)
-    return [" ".join(words_of(r.line)[:LONG]) for r in chosen.collect()]
+    chosen = keyed.where(F.col("h") <= lowest).groupBy("h").agg(F.min("line").alias("line")).orderBy("h").limit(most)
+    words = F.regexp_extract_all(F.lower("line"), F.lit(r"(?U)(\w+)"), F.lit(1))
+    return [r.line for r in chosen.select(F.concat_ws(" ", F.slice(words, 1, LONG)).alias("line")).collect()]
 
 
 def _calibrated(log_odds: np.ndarray, licence: np.ndarray) -> tuple[float, float]:
@@ -206,53 +269,99 @@ def _calibrated(log_odds: np.ndarray, licence: np.ndarray) -> tuple[float, float
     return float(max(b[0], 0.1)), float(b[1])
 
 
-def train(spark: SparkSession, corpus: list[str]) -> LicenceModel:
-    """Fit on the templates and ``corpus`` paragraphs; every fifth row is left for the calibration."""
-    families = [*NAMES, UNKNOWN]
-    rows = [(families.index(f), words_of(t)) for f, texts in templates().items() for t in texts]
+def made_names(words: list[str], count: int) -> list[str]:
+    """``count`` names of licences that do not exist, from ``words`` and initials; the same for the same words."""
+    rng = np.random.default_rng(7)
+    letters = list("ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    taken = {w for names in NAMES.values() for n in names for w in words_of(n)}
+    words = sorted(w for w in set(words) - taken if w.isalpha()) or ["acme"]
+    names = []
+    for k in range(count):
+        w, v = (words[j].capitalize() for j in rng.integers(0, len(words), 2))
+        initials = "".join(rng.choice(letters, rng.integers(2, 6))) + "PL"[: rng.integers(0, 3)]
+        names.append(SHAPES[k % len(SHAPES)].format(w=w, v=v, i=initials, n=rng.integers(1, 5), m=rng.integers(0, 4)))
+    return [n for n in names if not taken & {words_of(n)[0]}]
+
+
+def _notices(names: list[str]) -> list[tuple[int, str]]:
+    """Notices of all names in all forms, each with the number of its form."""
+    return [(k, form.format(n)) for n in names for k, form in enumerate(FORMS)]
+
+
+def train(spark: SparkSession, corpus: list[str], made: int = 190) -> LicenceModel:
+    """Fit on the templates, ``made`` made-up names and ``corpus`` paragraphs. Every fifth form of words, made-up name and paragraph is
+    left for the calibration, so that it sees notices that are worded or named as none of the training rows."""
+    families = [*NAMES, OTHER, UNKNOWN]
+    other, unknown = len(families) - 2, len(families) - 1
+    rows: list[tuple[int, list[str], bool]] = []  # class, words, whether held for the calibration
+    for family, names in NAMES.items():
+        rows += [(families.index(family), words_of(t), k % 5 == 4) for k, t in _notices(names)]
+        rows += [(families.index(family), words_of(n), False) for n in names if len(words_of(n)) > 1]
     # standard sentences are few beside the notices, and often only partly on a line
     for family, texts in SENTENCES.items():
         for words in map(words_of, texts):
             half = len(words) // 2
-            rows += [(families.index(family), part) for part in (words, words[:half], words[half:]) for _ in range(6)]
+            rows += [(families.index(family), part, False) for part in (words, words[:half], words[half:]) for _ in range(6)]
     around = [words_of(t)[:12] for t in corpus]
+    invented = made_names([w for words in around or map(words_of, OTHERS) for w in words], made)
+    for n, name in enumerate(invented):
+        # a few forms a name: names differ more than forms do
+        rows += [(other, words_of(t), n % 5 == 4) for k, t in _notices([name]) if (k + n) % 3 == 0 and (n % 5 == 4) == (k % 5 == 4)]
     # a notice may share its line with other words
-    rows += [(k, w + around[n % len(around)]) for n, (k, w) in enumerate(rows) if around and n % 3 == 0]
+    rows += [(k, w + around[n % len(around)], h) for n, (k, w, h) in enumerate(rows) if around and n % 3 == 0]
     confirmer = Confirmer()
     clean = [t for t in corpus if not any(confirmer.cover(f, t) >= 0.5 for f in NAMES)]
-    unknown = len(families) - 1
-    rows += [(unknown, words_of(t)) for t in clean] + [(unknown, words_of(t)) for t in OTHERS for _ in range(5)]
-    grams = [np.unique(grams_of(w)[0]) for _, w in rows]
-    vocabulary = np.unique(np.concatenate([g for (k, _), g in zip(rows, grams) if k != unknown] + [np.unique(grams_of(words_of(t))[0]) for t in OTHERS]))
+    rows += [(unknown, words_of(t), n % 5 == 4) for n, t in enumerate(clean)] + [(unknown, words_of(t), False) for t in OTHERS for _ in range(5)]
+    grams = [np.unique(grams_of(w)[0]) for _, w, _ in rows]
+    # n-grams of a single row (made-up names, words around a notice) could only be learnt by heart
+    seen, times = np.unique(np.concatenate([g for (k, _, h), g in zip(rows, grams) if k != unknown and not h]), return_counts=True)
+    vocabulary = np.unique(np.concatenate([seen[times > 1], *(np.unique(grams_of(words_of(t))[0]) for t in OTHERS)]))
 
     def vector(g: np.ndarray):
         at = np.searchsorted(vocabulary, g).clip(max=len(vocabulary) - 1)
         at = np.unique(at[vocabulary[at] == g])
         return Vectors.sparse(len(vocabulary), at.tolist(), [1.0] * len(at))
 
-    order = np.random.default_rng(11).permutation(len(rows))
-    held = set(order[::5].tolist())
-    data = [(float(rows[n][0]), vector(grams[n])) for n in range(len(rows)) if n not in held]
+    data = [(float(k), vector(g)) for (k, _, h), g in zip(rows, grams) if not h]
     frame = spark.createDataFrame(data, ["label", "features"])
-    fitted = LogisticRegression(family="multinomial", elasticNetParam=1.0, regParam=PENALTY, maxIter=60, standardization=False).fit(frame.repartition(4))
+    fitted = LogisticRegression(family="multinomial", elasticNetParam=1.0, regParam=PENALTY, maxIter=60, standardization=False).fit(frame.coalesce(1))
     weights = fitted.coefficientMatrix.toArray().T
     used = np.flatnonzero(weights.any(axis=1))
     model = LicenceModel(families, vocabulary[used], weights[used], fitted.interceptVector.toArray(), (1.0, 0.0))
-    odds, licence = [], []
-    for n in held:
-        some = _any_licence(model, grams[n])
-        odds.append(np.log(some / (1 - some)))
-        licence.append(rows[n][0] != unknown)
-    model.calibration = _calibrated(np.array(odds), np.array(licence, float))
+    held = [(k, *model.odds(g)) for (k, _, h), g in zip(rows, grams) if h]
+    model.calibration = _calibrated(np.array([x[1] for x in held]), np.array([x[0] != unknown for x in held], float))
+    licences = [x for x in held if x[0] != unknown]
+    model.own = _calibrated(np.array([x[3] for x in licences]), np.array([x[2] == x[0] for x in licences], float))
+    model.triggers = _triggers(model, [w for _, w, _ in rows], [words_of(t) for t in clean])
     return model
 
 
-def _any_licence(model: LicenceModel, grams: np.ndarray) -> float:
-    at = np.searchsorted(model.known, grams).clip(max=max(0, len(model.known) - 1))
-    at = at[model.known[at] == grams] if len(model.known) else at[:0]
-    z = model.intercepts + model.weights[at].sum(axis=0)
-    p = np.exp(z - z.max())
-    return float(np.clip(1 - p[-1] / p.sum(), 1e-6, 1 - 1e-6))
+def _triggers(model: LicenceModel, rows: list[list[str]], corpus: list[list[str]]) -> frozenset[str]:
+    """Words of which each licence has one. The most common words of the corpus are left out one by one, as long as all n-grams
+    made of such words alone cannot together lift a paragraph over the bound: each counts with the most that it can add to a
+    licence class against UNKNOWN, and those that speak against a licence count nothing."""
+    gain = dict(zip(model.known.tolist(), (model.weights[:, :-1] - model.weights[:, -1:]).max(axis=1).clip(min=0).tolist()))
+    parts: dict[int, frozenset[str]] = {}
+    for words in rows:
+        for n in (1, 2, 3):
+            for k in range(len(words) - n + 1):
+                piece = words[k : k + n]
+                h = int(grams_of(piece)[0][-1])  # the longest n-gram comes last
+                if h in gain and h not in parts:
+                    parts[h] = frozenset(piece)
+    vocabulary = {w for words in parts.values() for w in words}
+    common: dict[str, int] = dict.fromkeys(vocabulary, 0)
+    for words in corpus:
+        for w in vocabulary.intersection(words):
+            common[w] += 1
+    slope, offset = model.calibration
+    z = model.intercepts[:-1] - model.intercepts[-1]
+    room = -offset / slope - _log_sum(z)  # gains below this leave any licence at 0.5 or less
+    free: set[str] = set()
+    for word in sorted(vocabulary, key=lambda w: (-common[w], w)):
+        if sum(gain[h] for h, words in parts.items() if words <= free | {word}) < room:
+            free.add(word)
+    return frozenset(vocabulary - free)
 
 
 _FOUND = pa.schema(

@@ -42,7 +42,7 @@ def test_corpus_against_brute_force(docs, model):
     assert found == want
     extra = {k for k, r in got.items() if r.confirmed} - want.keys()
     texts = {r.doc_id: r.text.split("\n") for r in docs.where(docs.doc_id.isin([d for d, _ in extra])).collect()}
-    assert all(re.search("licen|CC BY|MIT|GPL|Apache", texts[d][k]) for d, k in extra)
+    assert all(re.search("licensed|CC BY|MIT License|GPL|GNU|Apache License", texts[d][k]) for d, k in extra)
 
 
 def test_made_up_paragraphs(model):
@@ -63,6 +63,74 @@ def test_probability_is_calibrated(model):
     assert 0 < len(model.known) < 5000
 
 
+def test_licences_outside_the_families(model):
+    """Real licences that no training row names, in forms of training and in others: never a family, never confirmed."""
+    confirmer = licenses.Confirmer()
+    others = [
+        "Licensed under the WTFPL.",
+        "This Font Software is licensed under the SIL Open Font License, Version 1.1.",
+        "Licensed under the terms of the Acme Commercial License. All rights reserved.",
+        "Distributed under the Boost Software License, Version 1.0.",
+        "This software is released under the zlib License.",
+        "Licensed under the Artistic License 2.0.",
+        "Released under the CDDL 1.0.",
+        "This file is part of the kit and is covered by the Sleepycat License.",
+        "The library may be used under the terms of the PostgreSQL License.",
+        "Released under the Python Software Foundation License.",
+    ]
+    made = licenses.made_names(["red", "house"], 100)
+    assert made == licenses.made_names(["house", "red", "house"], 100) and not any("Sleepycat" in m or "Artistic" in m for m in made)
+    for text in others:
+        found = model.scan(text, confirmer)
+        assert not any(c for *_, c in found) and {f for _, f, *_ in found} <= {licenses.OTHER}, text
+    assert sum(bool(model.scan(t, confirmer)) for t in others) >= 8
+
+
+def test_confirmation_needs_the_name():
+    compare = licenses.Confirmer().compare
+    words = licenses.words_of
+    assert compare("MIT", words("Licensed under the terms of the Acme Commercial License."))[1] is False
+    assert compare("MIT", words("MIT people. Licensed under the Acme."))[1] is False
+    assert compare("MIT", words("Licensed under MIT."))[1] is True
+    assert compare("GPL", words("Licensed under the GNU Lesser General Public License"))[1] is False
+    assert compare("CC-BY", words("Licensed under CC BY-NC 4.0."))[1] is False
+    lgpl = licenses.SENTENCES["LGPL"][0]
+    assert compare("LGPL", words(lgpl))[1] is True and compare("GPL", words(lgpl))[1] is False
+    assert compare("GPL", words(lgpl.replace("GNU Lesser General Public", "Acme")))[1] is False
+    assert compare(licenses.OTHER, words("Licensed under the Acme License.")) == (0.0, False)
+
+
+def test_triggers_lose_nothing(docs, model):
+    """Paragraphs judged without the test for triggers, in the same windows, give the same rows."""
+    confirmer = licenses.Confirmer()
+    texts = [r.text or "" for r in docs.where("doc_id < 1500").collect()]
+    texts += ["\n".join(licenses.OTHERS), " ".join(licenses.OTHERS), "you may use this file without the following conditions"]
+    for text in texts:
+        want = set()
+        for number, paragraph in enumerate(text.split("\n")):
+            words = licenses.words_of(paragraph)
+            half = licenses.LONG // 2
+            starts = range(0, max(1, len(words) - half), half) if len(words) > licenses.LONG else [0]
+            if any(words and model.judge(words[k : k + licenses.LONG])[0] != licenses.UNKNOWN for k in starts):
+                want.add(number)
+        assert {n for n, *_ in model.scan(text, confirmer)} == want
+
+
+def test_stored_model(spark, model, tmp_path):
+    model.save(spark, f"{tmp_path}/model")
+    again = licenses.LicenceModel.load(spark, f"{tmp_path}/model")
+    assert (again.known == model.known).all() and (again.weights == model.weights).all() and again.triggers == model.triggers
+    for text in [*NOTICES, "Licensed under the WTFPL.", "nothing"]:
+        assert again.judge(licenses.words_of(text)) == model.judge(licenses.words_of(text))
+
+
+def test_samples_are_cut_by_words(spark):
+    long = "x" * 2000
+    rows = spark.createDataFrame([(1, " ".join([long] * 30 + ["End"] + ["y"] * 50)), (2, None)], "doc_id long, text string")
+    [line] = licenses.negatives(rows)
+    assert line.split(" ") == [long] * 30 + ["end"] + ["y"] * 9
+
+
 def test_odd_rows(spark, model):
     notice = next(iter(NOTICES))
     rows = [(1, notice, "x"), (1, notice, "x"), (None, f"a\n{notice}", None), (2, None, None), (3, "", None), (4, notice + "\n" + notice, "y")]
