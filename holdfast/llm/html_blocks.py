@@ -7,8 +7,9 @@ that the surging window holds. What lies between, short lines included, is the m
 or a share of the page's largest sum if that is less, so that short pages have a text too.
 
 What is no text at all weighs nothing: scripts, styles, forms, menus, headers, footers, sidebars, notices, adverts and reader
-comments, by element, role and class. If a page marks its articles (or else its main part), lines outside weigh nothing, and
-containers inside leave no empty lines, so an article is never cut in two.
+comments, by element, role and class. Class names are only a hint: elements of a class that hold nearly all unlinked text of the page
+keep their weight, whatever they are called (``legal-news``, ``notice-body``); reader comments never do. If a page marks its articles
+(or else its main part), lines outside weigh nothing, and containers inside leave no empty lines, so an article is never cut in two.
 
 Defined results: null or empty html has an empty text. A page that repeats gives repeated rows. An element that never ends is
 stripped to its tag; comments, scripts and the like that never end reach to the end of the page. Other columns are ignored.
@@ -53,6 +54,8 @@ _WORDS = frozenset(
     " signup login search social share sharing related recommended recommendations comment comments commentlist disqus respond reply replies widget toolbar"
     " pagination pager copyright legal adbox adslot adsense adunit cookiebar cookiebanner sidenav topnav subnav navlinks sponsorship disclaimer".split()
 )
+_COMMENTS = frozenset("comment comments commentlist disqus respond reply replies".split())
+_WEAK, _STRONG, _SURE = 1, 2, 3  # a class name with other words beside; one of such words alone; elements, roles, reader comments
 _CONTENT = frozenset("content article main post entry story text body".split())
 
 
@@ -65,41 +68,120 @@ def _parts(name: str) -> list[str]:
     return [w.lower() for w in re.findall(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+", name)] or [name]
 
 
-def _is_boilerplate(name: str, text: str, in_article: bool) -> bool:
+def _boilerplate(name: str, text: str, in_article: bool) -> int:
+    """How surely an element is no main text, 0 if nothing says so."""
     if name in _NEVER and not (name == "article" and text.strip()):
-        return False
+        return 0
     if name in _NO_TEXT or (name == "header" and not in_article):
-        return True
+        return _SURE
     if not text.strip():
-        return False
+        return 0
     found = _attributes(text)
     if "hidden" in found or found.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", found.get("style", "").lower()):
-        return name not in _NEVER
+        return 0 if name in _NEVER else _SURE
     if found.get("role", "").lower() in _ROLES:
-        return True
+        return _SURE
     names = f"{found.get('class', '')} {found.get('id', '')}".split()
     if name == "article":
-        return any(_parts(n)[0] in ("comment", "comments", "reply") for n in names)
+        return _SURE if any(_parts(n)[0] in ("comment", "comments", "reply") for n in names) else 0
     if in_article and name in ("h1", "h2", "header"):
-        return False
+        return 0
     parts = [_parts(n) for n in names]
     if any(set(p) & _CONTENT and not set(p) & _WORDS for p in parts):
-        return False
-    return any({p[0], p[-1], "".join(p)} & _WORDS and p[0] not in ("has", "with", "no") for p in parts)
+        return 0
+    hits = [p for p in parts if {p[0], p[-1], "".join(p)} & _WORDS and p[0] not in ("has", "with", "no")]
+    if any({p[0], p[-1]} & _COMMENTS for p in hits):
+        return _SURE
+    return max((_STRONG if set(p) <= _WORDS or "".join(p) in _WORDS else _WEAK for p in hits), default=0)
+
+
+def _ends(tokens: list) -> list[int]:
+    """Per token the place of the tag that ends the element which starts there; its own place if none does."""
+    ends = list(range(len(tokens)))
+    open_tags: dict[str, list[int]] = {}
+    for k, token in enumerate(tokens):
+        name = (token["name"] or "").lower()
+        if not name or name in _SELF_ENDING:
+            continue
+        if not token["end"]:
+            open_tags.setdefault(name, []).append(k)
+        elif open_tags.get(name):
+            ends[open_tags[name].pop()] = k
+    block = None  # the next block tag
+    for k in range(len(tokens) - 1, -1, -1):
+        name = (tokens[k]["name"] or "").lower()
+        if name in _SELF_ENDING and block is not None:  # its own end tag or the next block ends it
+            own = tokens[block]["end"] and tokens[block]["name"].lower() == name
+            ends[k] = block if own else block - 1
+        if name in _BLOCKS:
+            block = k
+    return ends
+
+
+class _Page:
+    """The tags of a page, the unlinked text before each, and which classes keep their weight in spite of their names."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.tokens = list(_TOKEN.finditer(text))
+        self.ends = _ends(self.tokens)
+        self.before = [0]  # unlinked characters before each tag, and in all
+        in_link, at, total = False, 0, 0
+        for token in self.tokens:
+            if not in_link:
+                total += len("".join(text[at : token.start()].split()))
+            self.before.append(total)
+            at = token.end()
+            if (token["name"] or "").lower() == "a":
+                in_link = not token["end"]
+        self.before.append(total + (0 if in_link else len("".join(text[at:].split()))))
+        del self.before[0]
+        self.spared = self._spared()
+
+    def size(self, k: int) -> int:
+        return self.before[max(k, self.ends[k])] - self.before[k]
+
+    def verdict(self, k: int, in_article: bool) -> int:
+        """How surely the element that starts at ``k`` is no main text; 0 also where it has no end."""
+        token = self.tokens[k]
+        name = token["name"].lower()
+        if token["end"] or name in _VOID or not (self.ends[k] > k or name in _SELF_ENDING):
+            return 0
+        return _boilerplate(name, token["attributes"], in_article)
+
+    def group(self, k: int) -> tuple[str, str]:
+        found = _attributes(self.tokens[k]["attributes"])
+        return self.tokens[k]["name"].lower(), found.get("class") or found.get("id", "")
+
+    def _spared(self) -> set[tuple[str, str]]:
+        groups: dict[tuple[str, str], list[int]] = {}
+        rest, paragraphs, in_article, k = self.before[-1], 0, 0, 0
+        while k < len(self.tokens):
+            name = (self.tokens[k]["name"] or "").lower()
+            if name and (sure := self.verdict(k, in_article > 0)):
+                rest -= self.size(k)
+                if sure < _SURE:
+                    group = groups.setdefault(self.group(k), [sure, 0])
+                    group[1] += self.size(k)
+                k = self.ends[k] + 1
+                continue
+            if name in ("article", "main"):
+                in_article = max(0, in_article - 1) if self.tokens[k]["end"] else in_article + 1
+            paragraphs += name == "p" and not self.tokens[k]["end"]
+            k += 1
+        spared = set()
+        for key, (sure, size) in sorted(groups.items(), key=lambda g: (g[1][0], -g[1][1])):
+            if _holds_the_text(sure, size, rest, paragraphs):
+                spared.add(key)
+                rest += size
+        return spared
 
 
-def _end_of(tokens: list, at: int) -> int:
-    """Place of the tag that ends the element which starts at ``at``; ``at`` itself if none does."""
-    name, depth = tokens[at]["name"].lower(), 1
-    for k in range(at + 1, len(tokens)):
-        other = (tokens[k]["name"] or "").lower()
-        if name in _SELF_ENDING and other in _BLOCKS and (other != name or not tokens[k]["end"]):
-            return k - 1  # the next block ends it
-        if other == name:
-            depth += -1 if tokens[k]["end"] else 1
-            if not depth:
-                return k
-    return at
+def _holds_the_text(sure: int, size: int, rest: int, paragraphs: int) -> bool:
+    """Whether ``size`` characters are the text of a page (or part of one) that has ``rest`` others, in some paragraphs."""
+    if sure == _STRONG:
+        return not paragraphs and rest < min(SURGE, SHARE * size)
+    return sure == _WEAK and rest < (0.1 if paragraphs else SHARE) * size
 
 
 class _Line:
@@ -115,18 +197,21 @@ class _Line:
 
 def lines_of(page: str) -> tuple[list[_Line], bool]:
     """Lines in page order (empty ones at borders), and whether the article or main elements that are not dropped hold most of
-    the unlinked text, so that they mark the main part."""
-    tokens = list(_TOKEN.finditer(page))
-    marks = {(t["name"] or "").lower() for t in tokens if t["name"] and not t["end"]}
+    the unlinked text, so that they mark the main part. Articles mark it also where the page has no unlinked text at all."""
+    parsed = _Page(page)
+    marks = {(t["name"] or "").lower() for t in parsed.tokens if t["name"] and not t["end"]}
     for mark in ("article", "main"):
         if mark in marks:
-            lines = _lines(page, tokens, mark)
-            if 2 * sum(x.unlinked for x in lines if x.inside) > sum(x.unlinked for x in lines):
+            lines = _lines(parsed, mark)
+            total = sum(x.unlinked for x in lines)
+            if 2 * sum(x.unlinked for x in lines if x.inside) > total or (mark == "article" and not total and any(x.inside for x in lines)):
                 return lines, True
-    return _lines(page, tokens, None), False
+    return _lines(parsed, None), False
 
 
-def _lines(page: str, tokens: list, mark: str | None) -> list[_Line]:
+def _lines(parsed: _Page, mark: str | None) -> list[_Line]:
+    page, tokens = parsed.text, parsed.tokens
+    around: list[int] = []  # elements that are read in spite of their class
     lines: list[_Line] = []
     parts: list[str] = []
     links: list[str] = []
@@ -157,15 +242,23 @@ def _lines(page: str, tokens: list, mark: str | None) -> list[_Line]:
             k += 1
             continue
         ends = bool(token["end"])
-        if not ends and name not in _VOID and _is_boilerplate(name, token["attributes"], in_article > 0):
-            last = _end_of(tokens, k)
-            if last > k or name in _SELF_ENDING:
-                close(True)
-                stop = tokens[last]
-                ended = stop["name"] and stop["name"].lower() == name and stop["end"]
-                at = stop.end() if ended else (tokens[last + 1].start() if last + 1 < len(tokens) else len(page))
-                k = last + 1
-                continue
+        while around and parsed.ends[around[-1]] < k:
+            around.pop()
+        sure = parsed.verdict(k, in_article > 0)
+        if sure and sure < _SURE:
+            # inside an element that is read, only its own text is compared
+            inner = around and _holds_the_text(sure, parsed.size(k), parsed.size(around[-1]) - parsed.size(k), 0)
+            if inner or (not around and parsed.group(k) in parsed.spared):
+                around.append(k)
+                sure = 0
+        if sure:
+            last = parsed.ends[k]
+            close(True)
+            stop = tokens[last]
+            ended = stop["name"] and stop["name"].lower() == name and stop["end"]
+            at = stop.end() if ended else (tokens[last + 1].start() if last + 1 < len(tokens) else len(page))
+            k = last + 1
+            continue
         if name == "a":
             in_link = not ends
         elif name == "br":
