@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import as_bytes
+from holdfast.llm.common import HELD, as_bytes, lean
 
 #: How byte-level BPE splits a text before it merges (a fixed value of the tokenizer).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -229,6 +229,9 @@ _REPORT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha
 _TEXT = 2_000_000  # bytes of text encoded at once
 
 
+HELD["bpe"] = TrieBPE.held
+
+
 def _coded(tokenizer: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = TrieBPE.of(tokenizer)
@@ -259,4 +262,4 @@ def encoding_report(docs: DataFrame, tokenizer: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) per row of ``docs``; ``tokenizer`` is a byte-level BPE file that every
     executor has."""
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return texts.mapInArrow(_coded(tokenizer), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return texts.mapInArrow(lean(_coded(tokenizer), "bpe"), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

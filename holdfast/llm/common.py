@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +34,33 @@ def bound_batches(spark: SparkSession, megabytes: int = 4) -> None:
     spark.conf.set(name, f"{megabytes}m")
 
 
+#: What operators keep in a worker from task to task, by operator.
+HELD: dict[str, dict] = {}
+
+
+def tidy(keep: str = "") -> None:
+    """Give memory back to the system: what operators other than ``keep`` hold in this worker, and what Arrow and the C library
+    have freed but not returned. Workers serve the tasks of all operators, one after the other."""
+    for store in [s for name, s in HELD.items() if name != keep and s]:
+        store.clear()
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def lean(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], keep: str = "") -> Callable:
+    """``work`` over a task's batches, in a worker that is tidied before and after."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy(keep)
+        yield from work(batches)
+        tidy(keep)
+
+    return run
+
+
 def as_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a text column; null counts as the empty text."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]

@@ -38,6 +38,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from holdfast.llm.common import tidy
+
 SIZE = 5
 SIMILARITY = 0.8
 RADIUS = 20
@@ -214,6 +216,7 @@ def leak_column(spark, rows: list[tuple[int, str]], least: float = SIMILARITY, r
 
     @F.arrow_udf(_LEAKS)
     def leaks(text: pa.Array) -> pa.Array:
+        tidy()
         if "items" not in ready:
             ready["items"] = Items(block.value, least, radius)
         found = [[dict(zip(("item_id", "first_word", "similarity"), x)) for x in ready["items"].leaks(t or "")] for t in text.to_pylist()]

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from holdfast.llm.common import as_bytes, windows_of_three, word_ids
+from holdfast.llm.common import as_bytes, lean, tidy, windows_of_three, word_ids
 
 BINS = 1 << 16
 SIZES = (2, 3, 4)
@@ -81,7 +81,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = TRUSTED) -> np.ndarray:
         )
 
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    counted = texts.mapInArrow(count, "bin int, raw long, target long").groupBy("bin").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+    counted = texts.mapInArrow(lean(count), "bin int, raw long, target long").groupBy("bin").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
     raw, target = np.zeros(BINS), np.zeros(BINS)
     for row in counted.collect():  # BINS rows at most
         raw[row.bin], target[row.bin] = row.raw, row.target
@@ -161,6 +161,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
 
     @F.arrow_udf(T.BooleanType())
     def kept(text: pa.Array) -> pa.Array:
+        tidy()
         out = []
         for t in as_bytes(text):
             got = measures(t)

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from holdfast.llm.common import as_bytes, stored
+from holdfast.llm.common import as_bytes, lean, stored
 
 WINDOW = 400
 GROUP = 10_000  # different surroundings of one sample that are sorted in one task
@@ -374,7 +374,7 @@ def _spans_by_bands(tuples: DataFrame, window: int) -> DataFrame:
     spans = None
     bands = tuples.withColumn("bands", F.array(*[F.lit(lo) for lo in range(0, reach + 1, widths[-1])]))
     for width in reversed(widths):
-        keyed = stored(bands.mapInArrow(_band_keys(window, width), _BAND_DDL), "bands")
+        keyed = stored(bands.mapInArrow(lean(_band_keys(window, width)), _BAND_DDL), "bands")
         classes = stored(
             keyed.groupBy("outer", "inner", "lo").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "th", "pos")).alias("rep")), "classes"
         )
@@ -395,7 +395,7 @@ def _spans_by_bands(tuples: DataFrame, window: int) -> DataFrame:
 def repeated_spans(docs: DataFrame, window: int = WINDOW, group: int = GROUP) -> DataFrame:
     """(doc_id, th, spans) for the texts of ``docs`` (doc_id, th, text) with repeated strings; ``th`` hashes the text, so that
     the two name a text even if ids repeat. Spans are [start, end) in bytes and may overlap."""
-    seen = stored(docs.select("doc_id", "th", "text").mapInArrow(_occurrences(window), _SEEN_DDL), "occurrences")
+    seen = stored(docs.select("doc_id", "th", "text").mapInArrow(lean(_occurrences(window)), _SEEN_DDL), "occurrences")
     texts = seen.groupBy("h", "ctx", "ctx2").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "th", "pos")).alias("rep"))
     kinds = texts.groupBy("h").agg(F.count("*").alias("m"))
     spans = (
@@ -412,11 +412,11 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, group: int = GROUP) ->
 
     per_doc = wanted.groupBy("doc_id", "th").agg(F.collect_list(F.struct("h", "alone", "pos", "many")).alias("wanted"))
     same = F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.th") == F.col("w.th"))
-    tuples = docs.alias("d").join(per_doc.alias("w"), same).select("d.doc_id", "d.th", "d.text", "w.wanted").mapInArrow(_cut(window), _TUPLE_DDL)
+    tuples = docs.alias("d").join(per_doc.alias("w"), same).select("d.doc_id", "d.th", "d.text", "w.wanted").mapInArrow(lean(_cut(window)), _TUPLE_DDL)
     # tuples that only pass through are spread evenly
     salt = F.when(F.col("many"), F.pmod(F.xxhash64("doc_id", "th", "pos"), F.lit(4096)) + 1).otherwise(0)
     queue = tuples.withColumn("salt", salt).repartition("g", "salt").sortWithinPartitions("g", "salt", "suffix", "pos").drop("salt")
-    found = stored(queue.mapInArrow(_induce(window), _OUT_DDL), "induced")
+    found = stored(queue.mapInArrow(lean(_induce(window)), _OUT_DDL), "induced")
     spans = spans.unionByName(found.where("suffix IS NULL").select("doc_id", "th", "start", "end"))
     if not wanted.where("many").isEmpty():
         many = found.where("suffix IS NOT NULL").select(*_TUPLE.names)

@@ -84,3 +84,12 @@ def test_odd_rows(spark):
             assert out.columns == docs.columns, name
             out.collect()
         corpus_pipeline.encoding(spark, docs, SMALL).collect()
+
+
+def test_workers_give_back_what_others_hold():
+    from holdfast.llm import common
+    from holdfast.llm.bpe_trie import TrieBPE
+
+    TrieBPE.held["made"] = object()
+    assert list(common.lean(iter, "bpe")([1, 2])) == [1, 2] and "made" in TrieBPE.held
+    assert list(common.lean(iter)([3])) == [3] and not TrieBPE.held
