@@ -52,17 +52,24 @@ def fingerprint_of(text: pa.Array) -> pa.Array:
     return pa.array(np.array([fingerprint(t) for t in as_bytes(text)], dtype=np.uint64).view(np.int64))
 
 
+def _bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bits that differ; a value is a word or a row of words."""
+    apart = np.bitwise_count(a ^ b)
+    return apart if apart.ndim == 1 else apart.sum(axis=1, dtype=np.int64)
+
+
 class BKTree:
-    """BK-tree over distinct 64-bit values, built and searched level by level over whole arrays."""
+    """BK-tree over 64-bit values, or over rows of such words, built and searched level by level over whole arrays."""
 
     def __init__(self, values: np.ndarray):
         self.values = values
-        self.child = np.full((len(values), 65), -1, dtype=np.int32)
+        self.bits = 64 * (values.shape[1] if values.ndim > 1 else 1)
+        self.child = np.full((len(values), self.bits + 1), -1, dtype=np.int32)
         waiting = np.arange(1, len(values))
         node = np.zeros(len(waiting), dtype=np.int64)
         flat = self.child.reshape(-1)
         while len(waiting):
-            edge = node * 65 + np.bitwise_count(values[waiting] ^ values[node])
+            edge = node * (self.bits + 1) + _bits(values[waiting], values[node])
             taken, first = np.unique(edge, return_index=True)
             free = flat[taken] < 0
             flat[taken[free]] = waiting[first[free]]  # the first to arrive becomes the child
@@ -75,12 +82,12 @@ class BKTree:
         asked, node = np.arange(len(queries)), np.zeros(len(queries), dtype=np.int64)
         found_q, found_v = [], []
         while len(asked):
-            far = np.bitwise_count(queries[asked] ^ self.values[node]).astype(np.int64)
+            far = _bits(queries[asked], self.values[node]).astype(np.int64)
             near = far <= radius
             found_q.append(asked[near])
             found_v.append(node[near])
             ways = np.arange(-radius, radius + 1) + far[:, None]
-            down = np.where((ways >= 0) & (ways <= 64), self.child[node[:, None], ways.clip(0, 64)], -1)
+            down = np.where((ways >= 0) & (ways <= self.bits), self.child[node[:, None], ways.clip(0, self.bits)], -1)
             at, _ = np.nonzero(down >= 0)
             asked, node = asked[at], down[down >= 0].astype(np.int64)
         return np.concatenate([*found_q, np.empty(0, np.int64)]), np.concatenate([*found_v, np.empty(0, np.int64)])
