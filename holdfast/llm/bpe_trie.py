@@ -31,7 +31,7 @@ from holdfast.llm.common import HELD, as_bytes, lean
 #: How byte-level BPE splits a text before it merges (a fixed value of the tokenizer).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _KNOWN = 150_000  # chunks, and pre-tokens, of a generation that a worker remembers
-_PAIRS = 100_000
+_PAIRS = 600_000  # pairs of tokens, about 60 MB
 
 
 class Recent:
@@ -84,6 +84,9 @@ class TrieBPE:
         self.broad = regex.compile(r"\s ")
         self.pairs: dict[int, bool] = {}
         self.edges: dict[int, tuple[list, list] | None] = {}
+        self.lefts: dict[int, dict[int, int]] = {}  # by right part of a merge: its left parts, with the ranks
+        for (a, b), (rank, _) in self.merge.items():
+            self.lefts.setdefault(b, {})[a] = rank
         born = {}
         for rank, t in self.merge.values():
             born[t] = max(rank, born.get(t, -1))
@@ -147,10 +150,20 @@ class TrieBPE:
                 known = self._merged(b"".join(self.token[t] for t in whole)) == whole
             else:
                 # merges go by rank: two ends merge if their rank comes before both are used up, the left one first in a tie
-                own, merge = self._edges(token), self.merge
+                own = self._edges(token)
                 known = own is not None
                 if known and before >= 0:
-                    known = not any((x, y) in merge and merge[x, y][0] < i and merge[x, y][0] <= j for x, i in self._edges(before)[0] for y, j in own[1])
+                    for y, j in own[1]:
+                        lefts = self.lefts.get(y)  # what merges with y on its right: few tokens, so most ends are passed over here
+                        if lefts is None:
+                            continue
+                        for x, i in self._edges(before)[0]:
+                            rank = lefts.get(x)
+                            if rank is not None and rank < i and rank <= j:
+                                known = False
+                                break
+                        if not known:
+                            break
             self.pairs[key] = known
         return known
 
@@ -206,10 +219,12 @@ class TrieBPE:
             found = self.parts.findall(text) if self.parts and any(t in text for t in self.special) else []
             cut.append(([self._cut(x) for x in (self.parts.split(text) if found else [text])], found))
         fresh = self.chunks.missing(set().union(*(c for pieces, _ in cut for c in pieces)))
-        tokens = {c: [w.encode() for w in self.split.findall(c)] for c in fresh}
+        split = self.split.findall
+        # ASCII letters behind one space, or none, are one pre-token
+        tokens = {c: [c.encode()] if c.isascii() and c[1:].isalpha() and (c[0] == " " or c[0].isalpha()) else [w.encode() for w in split(c)] for c in fresh}
         self._encode_words(list(self.words.missing(set().union(*tokens.values()))))
         word, chunks = self.words.young.__getitem__, self.chunks.young
-        chunks.update((c, b"".join(map(word, ws))) for c, ws in tokens.items())
+        chunks.update((c, word(ws[0]) if len(ws) == 1 else b"".join(map(word, ws))) for c, ws in tokens.items())
         chunk = chunks.__getitem__
         out = []
         for pieces, found in cut:
