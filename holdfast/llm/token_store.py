@@ -21,16 +21,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import as_bytes
-
 SEGMENT = 1 << 20  # tokens after which a segment is closed
 _CACHE = 600_000  # words, and parts of words, whose ids a worker remembers
 _RANK = 512
 _TEXT = 4_000_000  # bytes of text encoded at once
+_MARKS = rb"""!"#$%&()*+,-./:;<=>?@[\]^_`{|}~"""  # ASCII punctuation but the apostrophe, which opens contractions
 
 
 # --- codes ---------------------------------------------------------------------------------------------------------
@@ -93,7 +93,7 @@ class WordEncoder:
     held: dict[str, "WordEncoder"] = {}
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
@@ -103,6 +103,14 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        # for words of letters alone: the same model without the steps that change nothing in them
+        self.lower = self.letters = self.tokenizer
+        if _steps(self.tokenizer) == ["NFC", "Replace", "Lowercase", "Split", "ByteLevel"]:
+            self.lower, self.letters = Tokenizer(self.tokenizer.model), Tokenizer(self.tokenizer.model)
+            self.lower.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+            self.letters.normalizer = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
+            spelled = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+            self.letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), spelled])
 
     @classmethod
     def of(cls, path: str) -> "WordEncoder":
@@ -112,18 +120,23 @@ class WordEncoder:
 
     def _library(self, words: list[bytes]) -> dict[bytes, bytes]:
         out = {}
-        letters, others = [], []
+        lower, letters, others = [], [], []
         for word in words:
-            (letters if _letters(word) else others).append(word)
-        for lo in range(0, len(letters), 4096):  # a word of letters alone ends where a token says so
-            part = letters[lo : lo + 4096]
-            ids = np.array(self.tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False).ids, "<u4")
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) != len(part):
-                others += part
-                continue
-            data, ends = ids.tobytes(), (ends * 4).tolist()
-            out.update(zip(part, (data[a:b] for a, b in zip([0, *ends], ends))))
+            if word.isalpha() and word.islower():
+                lower.append(word)
+            else:
+                (letters if _letters(word) else others).append(word)
+        for tokenizer, kind in ((self.lower, lower), (self.letters, letters)):
+            for lo in range(0, len(kind), 4096):  # a word of letters alone ends where a token says so
+                part = kind[lo : lo + 4096]
+                found = tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)
+                ids = np.array(found[0].ids, "<u4")
+                ends = np.flatnonzero(self.ends[ids]) + 1
+                if len(ends) != len(part):
+                    others += part
+                    continue
+                data, ends = ids.tobytes(), (ends * 4).tolist()
+                out.update(zip(part, (data[a:b] for a, b in zip([0, *ends], ends))))
         for lo in range(0, len(others), 4096):
             part = others[lo : lo + 4096]
             found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
@@ -132,29 +145,70 @@ class WordEncoder:
 
     @staticmethod
     def _stem(word: bytes) -> tuple[bytes, bytes]:
-        """A word of ASCII letters in lower case, apart from one mark behind it; other words as they are."""
+        """A word of letters, ASCII ones in lower case, apart from the marks behind it; other words as they are."""
         if word.isalpha():
             return word.lower(), b""
-        if word[-1:] in (b".", b",", b"!", b"?", b";", b":") and _letters(word[:-1]):
-            return word[:-1].lower(), word[-1:]  # on bytes only ASCII letters change
+        stem = word.rstrip(_MARKS)
+        if len(stem) < len(word) and _letters(stem):
+            return stem.lower(), word[len(stem) :]  # on bytes only ASCII letters change
         return word, b""
 
-    def encode(self, texts: list[list[bytes]]) -> list[np.ndarray]:
-        """``texts`` as lists of words."""
+    def _learn(self, words: list[bytes]) -> None:
+        """Have the ids of different ``words`` in ``known``."""
         known = self.known
-        fresh = set().union(*texts) - known.keys()
+        fresh = [w for w in words if w not in known]
+        if not fresh:
+            return
         if len(known) + len(fresh) > _CACHE:
-            known.clear()
-            fresh = set().union(*texts)
-        stems = {w: self._stem(w) for w in fresh}
-        parts = {part for pair in stems.values() for part in pair} - self.stems.keys()
-        if len(self.stems) + len(parts) > _CACHE:
-            self.stems = {b"": b""}
-            parts = {part for pair in stems.values() for part in pair} - self.stems.keys()
-        self.stems.update(self._library(list(parts)))
+            known = self.known = {w: known[w] for w in words if w in known}
+        stems = [self._stem(w) for w in fresh]
+        parts = {part for pair in stems for part in pair}
         ids = self.stems
-        known.update((w, ids[a] + ids[b] if b else ids[a]) for w, (a, b) in stems.items())
-        return [np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4") for words in texts]
+        new = [part for part in parts if part not in ids]
+        if len(ids) + len(new) > _CACHE:
+            ids = self.stems = {b"": b""} | {part: ids[part] for part in parts if part in ids}
+        ids.update(self._library(new))
+        known.update((w, ids[a] + ids[b] if b else ids[a]) for w, (a, b) in zip(fresh, stems))
+
+    def encode(self, texts: list[list[bytes]]) -> list[np.ndarray]:
+        """``texts`` as lists of words."""
+        self._learn(list(set().union(*texts)))
+        return [np.frombuffer(b"".join(map(self.known.__getitem__, words)), "<u4") for words in texts]
+
+    def encode_column(self, texts: pa.Array) -> list[np.ndarray]:
+        """``texts`` as a column of strings without nulls: split and counted by Arrow, so that a word is looked up once however often it occurs."""
+        lists = pc.ascii_split_whitespace(texts)
+        coded = lists.flatten().dictionary_encode()
+        words = _bytes_of(coded.dictionary)
+        self._learn(words)
+        found = list(map(self.known.__getitem__, words))
+        table = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        at = coded.indices.to_numpy()
+        length = sizes[at]
+        ends = np.concatenate([[0], np.cumsum(length)])
+        first = (np.cumsum(sizes) - sizes)[at] - ends[:-1]  # what leads from a place in the texts to a place in the table
+        ids = table[np.repeat(first, length) + np.arange(ends[-1])]
+        cuts = ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()].tolist()
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
+def _steps(tokenizer) -> list[str]:
+    """What a tokenizer does before its model, by name; empty if it is not two sequences."""
+    try:
+        return [type(step).__name__ for steps in (tokenizer.normalizer, tokenizer.pre_tokenizer) for step in steps]
+    except TypeError:
+        return []
+
+
+def _bytes_of(column: pa.StringArray) -> list[bytes]:
+    """The bytes of a column without nulls; slices of its buffer, since Arrow's own lists take longer."""
+    _, offsets, data = column.buffers()
+    if not len(column):
+        return []
+    cuts = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1].tolist()
+    held = data.to_pybytes() if data is not None else b""
+    return [held[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 _SEGMENT_DDL = (
@@ -180,14 +234,13 @@ def _segments(tokenizer: str, end_id: int):
             return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(row, _SEGMENT)], schema=_SEGMENT)
 
         for batch in batches:
-            texts, docs = as_bytes(batch.column(1)), batch.column(0).to_pylist()
+            texts, docs = batch.column(1).cast(pa.string()), batch.column(0).to_pylist()
+            size_to = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64)  # write_tokens leaves no null
             lo = 0
             while lo < len(texts):
-                hi, taken = lo, 0
-                while hi < len(texts) and (taken == 0 or taken + len(texts[hi]) <= _TEXT):
-                    taken += len(texts[hi])
-                    hi += 1
-                for doc, tokens in zip(docs[lo:hi], encoder.encode([t.split() for t in texts[lo:hi]])):
+                before = size_to[lo - 1] if lo else 0
+                hi = max(lo + 1, int(np.searchsorted(size_to, before + _TEXT, side="right")))
+                for doc, tokens in zip(docs[lo:hi], encoder.encode_column(texts.slice(lo, hi - lo))):
                     ids.append(doc)
                     parts.append(np.concatenate([tokens, end]))
                     size += len(parts[-1])

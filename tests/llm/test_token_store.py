@@ -1,9 +1,11 @@
 import random
+import string
 import unicodedata
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -82,3 +84,35 @@ def test_every_cased_and_composed_letter_before_every_mark():
     library = Tokenizer.from_file(PATH)
     want = library.encode_batch(words, add_special_tokens=False)
     assert [w for w, g, e in zip(words, got, want) if g.tolist() != e.ids] == []
+
+
+def test_columns_encode_as_the_library_does():
+    library = Tokenizer.from_file(PATH)
+    rng = random.Random(5)
+    letters = "abcdE FGé,.!?'s1 \n\x0b\x1c\x85\xa0́ßİΣ*#$<|>"
+    texts = [t or "" for t in TEXTS] + ["".join(rng.choice(letters) for _ in range(200)) for _ in range(200)] + ["", "end "]
+    got = ts.WordEncoder(PATH).encode_column(pa.array(["before", "it", *texts, "after"])[2:-1])
+    assert [g.tolist() for g in got] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_words_differ_from_their_stem_by_marks_alone():
+    """The letters before any run of ASCII marks pass the library once, whatever marks follow."""
+    marks = [a + b for a in string.punctuation for b in ("", *string.punctuation)] + ["***", ".&&&", "." * 300, "<|", "|>"]
+    words = [stem + m for stem in ("Wort", "Ärgernis") for m in marks]
+    e = ts.WordEncoder(PATH)
+    got = e.encode([[w.encode()] for w in words])
+    want = Tokenizer.from_file(PATH).encode_batch(words, add_special_tokens=False)
+    assert [w for w, g, x in zip(words, got, want) if g.tolist() != x.ids] == []
+    for stem in ("wort", "Ärgernis".encode().lower().decode()):
+        assert [k for k in e.stems if k.startswith(stem.encode()) and b"'" not in k] == [stem.encode()]
+
+
+def test_full_memory_keeps_the_words_at_hand(monkeypatch):
+    monkeypatch.setattr(ts, "_CACHE", 4)
+    e = ts.WordEncoder(PATH)
+    e.encode([[b"one", b"two", b"three"]])
+    asked = []
+    library = e._library
+    monkeypatch.setattr(e, "_library", lambda words: asked.extend(words) or library(words))
+    e.encode([[b"one", b"four", b"five"]])
+    assert sorted(asked) == [b"five", b"four"] and len(e.known) <= 4 and len(e.stems) <= 5
