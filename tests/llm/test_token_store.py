@@ -116,3 +116,11 @@ def test_full_memory_keeps_the_words_at_hand(monkeypatch):
     monkeypatch.setattr(e, "_library", lambda words: asked.extend(words) or library(words))
     e.encode([[b"one", b"four", b"five"]])
     assert sorted(asked) == [b"five", b"four"] and len(e.known) <= 4 and len(e.stems) <= 5
+
+
+def test_every_letter_inside_a_word():
+    """Words of letters alone skip the library's splitting, so Python and the library must agree on what a letter is."""
+    words = [f"a{c}b" for c in map(chr, [*range(128, 0xD800), *range(0xE000, 0x110000)]) if ts._letters(c.encode())]
+    got = ts.WordEncoder(PATH).encode_column(pa.array(words))
+    want = Tokenizer.from_file(PATH).encode_batch_fast(words, add_special_tokens=False)
+    assert len(words) > 100_000 and [w for w, g, e in zip(words, got, want) if g.tolist() != e.ids] == []
